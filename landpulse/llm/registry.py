@@ -6,9 +6,11 @@ from .bpe import op10_bpe
 from .line_dedup import OP1_SQL, op1_line_dedup
 from .quality_rules import OP5_SQL, op5_quality_rules
 from .token_store import op3_token_store
+from .toxicity import op2_toxicity
 
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_toxicity": op2_toxicity,
     "op3_token_store": op3_token_store,
     "op5_quality_rules": op5_quality_rules,
     "op10_bpe": op10_bpe,
