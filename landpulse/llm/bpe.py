@@ -12,6 +12,7 @@ import hashlib
 import heapq
 import json
 import re
+from array import array
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
@@ -24,7 +25,7 @@ from .common import table
 
 NONE = np.iinfo(np.int32).max
 #: Chunks whose ids a worker remembers, and bytes of text taken at a time: bounds on memory, not on what is encoded.
-CACHE, SLICE = 500_000, 8 << 20
+CACHE, SLICE = 400_000, 6 << 20
 
 
 class PairIndex:
@@ -145,6 +146,24 @@ class PairIndex:
         return out
 
 
+#: A word of Latin letters and what punctuation follows it: pre-tokenized here where _as_known holds, as these are two pieces that no normal form changes but for their case.
+SIMPLE = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:|#*$%&]*)")
+#: Byte-level BPE's name of each byte, by code: printable ones stand for themselves, the others for 256 and what follows.
+_PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_LEVEL = {b: b for b in _PRINTED} | {b: 256 + i for i, b in enumerate(sorted({*range(256)} - {*_PRINTED}))}
+
+
+def _as_known(spec: dict) -> bool:
+    """Whether the file lower-cases text in NFC, splits runs of letters from runs of other signs, and names bytes as above."""
+    normal, pre = spec.get("normalizer") or {}, spec.get("pre_tokenizer") or {}
+    kinds = [x["type"] for x in normal.get("normalizers", [normal])], [x["type"] for x in pre.get("pretokenizers", [pre])]
+    if kinds != (["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"]):
+        return False
+    split, level = pre["pretokenizers"]
+    pattern = split["pattern"].get("Regex", "")
+    return normal["normalizers"][1]["pattern"] == {"Regex": r"\s+"} and pattern.endswith(r"|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+") and pattern.startswith("'") and split["invert"] and split["behavior"] == "Removed" and not level["use_regex"] and not level["add_prefix_space"]
+
+
 class Model:
     """A tokenizer file's BPE: its added tokens and normalizer as the library reads them, its merges by a PairIndex."""
 
@@ -160,6 +179,7 @@ class Model:
         self.pairs = PairIndex(m["vocab"], [tuple(x.split(" ") if isinstance(x, str) else x) for x in m["merges"]], m.get("end_of_word_suffix") or "")
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.splits = re.compile("|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) or r"(?!)")
+        self.simple = _as_known(spec)
         names = {i: s for s, i in (m["vocab"] | self.added).items()}
         self.names = [names.get(i, "") for i in range(max(names) + 1)]
 
@@ -170,6 +190,9 @@ class Model:
         plans: list[list[int]] = []  # for each chunk, ~id of an added token or the number of a word
         for chunk in chunks:
             text, plan, at = chunk.decode("utf-8", "replace"), [], 0
+            if self.simple and (m := SIMPLE.fullmatch(text)):
+                plans.append([index.setdefault(w, len(index)) for w in (m[1].lower().encode().decode("latin-1").translate(BYTE_LEVEL), m[2]) if w])
+                continue
             for m in [*self.splits.finditer(text), None] if "<" in text else [None]:
                 part = text[at : m.start() if m else None]
                 if part:
@@ -189,18 +212,49 @@ class Model:
         return " ".join(self.names[i] for i in ids)
 
 
-class LibraryModel:
-    """The same interface by the tokenizers library alone."""
+class LibraryCache(dict):
+    """Ids (little-endian unsigned 32-bit) of chunks between ASCII white space by the tokenizers library; a missing chunk is encoded when asked for.
+
+    Simple chunks go to the library's BPE model, which spares its normalizer's
+    bookkeeping; all others go through the whole library. A full cache becomes
+    the older half, so that common chunks stay.
+    """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
+        self.model, self.older = self.library.model, {}
+        with open(path, encoding="utf-8") as f:
+            self.simple = _as_known(json.load(f))
+
+    def _ids(self, chunk: bytes) -> bytes:
+        text = chunk.decode("utf-8", "replace")
+        m = SIMPLE.fullmatch(text) if self.simple else None
+        if not m:
+            return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
+        word, rest = m.groups()
+        low = word.lower()
+        if rest or low != word:
+            own = self[low.encode()]
+            return own + self[rest.encode()] if rest else own
+        return array("I", [t.id for t in self.model.tokenize(low if chunk.isascii() else chunk.decode("latin-1").translate(BYTE_LEVEL))]).tobytes()
+
+    def __missing__(self, chunk: bytes) -> bytes:
+        found = self.older.get(chunk)
+        if found is None:
+            found = self._ids(chunk)
+        if len(self) >= CACHE // 2:
+            self.older = dict(self)
+            self.clear()
+        self[chunk] = found
+        return found
 
-    def encode_chunks(self, chunks: list[bytes]) -> list[np.ndarray]:
-        return [np.array(e.ids, "<u4") for e in self.library.encode_batch_fast([c.decode("utf-8", "replace") for c in chunks], add_special_tokens=False)]
+    def encode(self, text: bytes) -> bytes:
+        return b"".join(map(self.__getitem__, text.split()))
 
 
 @lru_cache(maxsize=2)
@@ -208,11 +262,6 @@ def model(path: str) -> Model:
     return Model(path)
 
 
-@lru_cache(maxsize=2)
-def library_model(path: str) -> LibraryModel:
-    return LibraryModel(path)
-
-
 class ChunkCache:
     """Ids of texts by the ids of their chunks between ASCII white space, each chunk encoded once.
 
@@ -231,9 +280,10 @@ class ChunkCache:
             new.update(t.split())
         fresh = [c for c in new if c not in self.ids]
         if len(self.ids) + len(fresh) > CACHE:
-            self.ids.clear()
-            self.texts.clear()
-            fresh = list(new)
+            for known in (self.ids, self.texts):
+                kept = {c: known[c] for c in new if c in known}
+                known.clear()
+                known.update(kept)
         for chunk, ids in zip(fresh, self.coder.encode_chunks(fresh), strict=True):
             self.ids[chunk] = ids.tobytes()
             if self.text:
@@ -256,8 +306,8 @@ def chunk_cache(path: str) -> ChunkCache:
 
 
 @lru_cache(maxsize=1)
-def library_cache(path: str) -> ChunkCache:
-    return ChunkCache(library_model(path))
+def library_cache(path: str) -> LibraryCache:
+    return LibraryCache(path)
 
 
 def sliced(texts: list[bytes], most: int = SLICE) -> Iterator[range]:

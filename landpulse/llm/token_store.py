@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .bpe import library_cache, sliced, texts_of, tokenizer_path
+from .bpe import library_cache, texts_of, tokenizer_path
 from .common import NO_ID, keyed, table, work_path, written
 from .files import read_file, write_file
 
@@ -219,15 +219,13 @@ def write_shards(docs: DataFrame, tokenizer: str, folder: str, end: int | None =
 
         for batch in batches:
             own, texts = batch.column(0).to_pylist(), texts_of(batch.column(1))
-            for rows in sliced(texts):
-                cache.learn(texts[i] for i in rows)
-                for i in rows:
-                    ids.append(cache.encode(texts[i]) + tail)
-                    keys.append(own[i])
-                    total += len(ids[-1]) // 4
-                    if total >= shard:
-                        yield close()
-                        keys, ids, nth, total = [], [], nth + 1, 0
+            for key, text in zip(own, texts, strict=True):
+                ids.append(cache.encode(text) + tail)
+                keys.append(key)
+                total += len(ids[-1]) // 4
+                if total >= shard:
+                    yield close()
+                    keys, ids, nth, total = [], [], nth + 1, 0
         if keys:
             yield close()
 
