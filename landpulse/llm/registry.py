@@ -5,6 +5,8 @@ from __future__ import annotations
 from .bpe import op10_bpe
 from .line_dedup import OP1_SQL, op1_line_dedup
 from .quality_rules import OP5_SQL, op5_quality_rules
+from .substring_dedup import op4_substring_dedup
+from .suffix_array import op6_suffix_array
 from .token_store import op3_token_store
 from .toxicity import op2_toxicity
 
@@ -12,7 +14,9 @@ QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_toxicity": op2_toxicity,
     "op3_token_store": op3_token_store,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_quality_rules": op5_quality_rules,
+    "op6_suffix_array": op6_suffix_array,
     "op10_bpe": op10_bpe,
 }
 
