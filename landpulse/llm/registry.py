@@ -5,6 +5,7 @@ from __future__ import annotations
 from .bpe import op10_bpe
 from .line_dedup import OP1_SQL, op1_line_dedup
 from .quality_rules import OP5_SQL, op5_quality_rules
+from .similarity_join import op8_jaccard_join
 from .substring_dedup import op4_substring_dedup
 from .suffix_array import op6_suffix_array
 from .token_store import op3_token_store
@@ -17,6 +18,7 @@ QUERIES = {
     "op4_substring_dedup": op4_substring_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op6_suffix_array": op6_suffix_array,
+    "op8_jaccard_join": op8_jaccard_join,
     "op10_bpe": op10_bpe,
 }
 
