@@ -45,3 +45,8 @@ def keyed(docs: DataFrame) -> DataFrame:
     """
     text = F.coalesce(docs["text"].cast("string"), F.lit(""))
     return docs.select(F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID)).alias("key"), F.xxhash64(text).alias("th"), docs["doc_id"].cast("long").alias("doc_id"), text.alias("text"))
+
+
+def folded(text: bytes) -> bytes:
+    """A UTF-8 text in lower case."""
+    return text.lower() if text.isascii() else text.decode("utf-8", "replace").lower().encode()

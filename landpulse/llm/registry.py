@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .bpe import op10_bpe
+from .decontamination import op7_decontamination
 from .line_dedup import OP1_SQL, op1_line_dedup
 from .quality_rules import OP5_SQL, op5_quality_rules
 from .similarity_join import op8_jaccard_join
@@ -18,6 +19,7 @@ QUERIES = {
     "op4_substring_dedup": op4_substring_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op6_suffix_array": op6_suffix_array,
+    "op7_decontamination": op7_decontamination,
     "op8_jaccard_join": op8_jaccard_join,
     "op10_bpe": op10_bpe,
 }
