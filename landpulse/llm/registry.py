@@ -11,6 +11,7 @@ from .substring_dedup import op4_substring_dedup
 from .suffix_array import op6_suffix_array
 from .token_store import op3_token_store
 from .toxicity import op2_toxicity
+from .warc import OP9_SQL, op9_warc
 
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
@@ -21,10 +22,12 @@ QUERIES = {
     "op6_suffix_array": op6_suffix_array,
     "op7_decontamination": op7_decontamination,
     "op8_jaccard_join": op8_jaccard_join,
+    "op9_warc": op9_warc,
     "op10_bpe": op10_bpe,
 }
 
 ORACLES = {
     "op1_line_dedup": OP1_SQL,
     "op5_quality_rules": OP5_SQL,
+    "op9_warc": OP9_SQL,
 }
