@@ -25,7 +25,7 @@ from .common import table
 
 NONE = np.iinfo(np.int32).max
 #: Chunks whose ids a worker remembers, and bytes of text taken at a time: bounds on memory, not on what is encoded.
-CACHE, SLICE = 400_000, 6 << 20
+CACHE, LIBRARY_CACHE, SLICE = 400_000, 1_200_000, 6 << 20
 
 
 class PairIndex:
@@ -247,7 +247,7 @@ class LibraryCache(dict):
         found = self.older.get(chunk)
         if found is None:
             found = self._ids(chunk)
-        if len(self) >= CACHE // 2:
+        if len(self) >= LIBRARY_CACHE // 2:
             self.older = dict(self)
             self.clear()
         self[chunk] = found

@@ -55,7 +55,7 @@ class WaveletMatrix:
         seq = code[inverse]
         planes, zeros, ones = [], [], []
         for level in range(max(len(found) - 1, 0).bit_length() - 1, -1, -1):
-            bits = (seq >> code.dtype.type(level) & code.dtype.type(1)).astype(bool)
+            bits = (seq & code.dtype.type(1 << level)) != 0
             low, high = seq[~bits], seq[bits]
             planes.append(np.packbits(bits, bitorder="little"))
             zeros.append(len(low))
