@@ -36,15 +36,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """(key, th, doc_id, text): one row for each row of docs, whatever other columns it has.
+def keyed(docs: DataFrame, carry: bool = False) -> DataFrame:
+    """(key, th, doc_id, text): one row for each row of docs, whatever other columns it has; with carry, those as a struct, rest.
 
     key is doc_id with NO_ID for null, th a hash of the text (null counts as
     empty). Rows that agree in both are copies of one another, so results by
     (key, th) hold for each of them and joins on it don't multiply rows.
     """
     text = F.coalesce(docs["text"].cast("string"), F.lit(""))
-    return docs.select(F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID)).alias("key"), F.xxhash64(text).alias("th"), docs["doc_id"].cast("long").alias("doc_id"), text.alias("text"))
+    rest = [F.struct(*(docs[c] for c in docs.columns if c != "text")).alias("rest")] if carry else []
+    return docs.select(F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID)).alias("key"), F.xxhash64(text).alias("th"), docs["doc_id"].cast("long").alias("doc_id"), text.alias("text"), *rest)
 
 
 def folded(text: bytes) -> bytes:

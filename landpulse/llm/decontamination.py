@@ -201,6 +201,21 @@ def _tuned(n: int, d: int, recall: float, rng: np.random.Generator, samples: int
     return Walks(n, walks.salts[:times], walks.steps[:times])
 
 
+def _blocks(benchmark: DataFrame, edits: int, recall: float, block: int) -> Iterator[Index]:
+    items = benchmark.select(benchmark["item_id"].cast("long").alias("item_id"), benchmark["text"].cast("string").alias("text"))
+    lots = -(-items.count() // block)
+    for lot in range(lots):
+        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(lots)) == lot).collect()
+        yield Index(sorted((tuple(r) for r in rows), key=lambda r: (r[0] is None, r[0] or 0, r[1] or "")), edits, recall)
+
+
+def _found(index: Index, texts: list[bytes]) -> Iterator[tuple[int, list[tuple]]]:
+    """(first text, matches) for slices of texts."""
+    for part in sliced(texts, 1 << 20):
+        words, counts = normal_words([texts[i] for i in part])
+        yield part.start, index.matches(words, np.concatenate(([0], np.cumsum(counts))))
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, edits: int = EDITS, recall: float = RECALL, block: int = BLOCK) -> DataFrame:
     """(doc_id, item_id, edits, start, n_words): for each row of docs and each item that it holds within the edits allowed, the best place; words count from 0.
 
@@ -213,27 +228,40 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, edits: int = EDITS, reca
     of at most about `block` items is what tasks hold of the benchmark.
     """
     spark = docs.sparkSession
-    items = benchmark.select(benchmark["item_id"].cast("long").alias("item_id"), benchmark["text"].cast("string").alias("text"))
-    lots = -(-items.count() // block)
     own = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
     schema = "doc_id long, item_id long, edits long, start long, n_words long"
-    out = spark.createDataFrame([], schema)
-    for lot in range(lots):
-        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(lots)) == lot).collect()
-        index = spark.sparkContext.broadcast(Index(sorted((tuple(r) for r in rows), key=lambda r: (r[0] is None, r[0] or 0, r[1] or "")), edits, recall))
+    out = None
+    for built in _blocks(benchmark, edits, recall, block):
+        index = spark.sparkContext.broadcast(built)
 
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                texts = texts_of(batch.column(1))
-                for part in sliced(texts, 1 << 20):
-                    words, counts = normal_words([texts[i] for i in part])
-                    found = index.value.matches(words, np.concatenate(([0], np.cumsum(counts))))
+                for first, found in _found(index.value, texts_of(batch.column(1))):
                     if found:
                         text, item, *rest = zip(*found, strict=True)
-                        yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array([part.start + t for t in text])), pa.array([index.value.ids[i] for i in item], pa.int64()), *(pa.array(x, pa.int64()) for x in rest)], ["doc_id", "item_id", "edits", "start", "n_words"])
+                        yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array([first + t for t in text])), pa.array([index.value.ids[i] for i in item], pa.int64()), *(pa.array(x, pa.int64()) for x in rest)], ["doc_id", "item_id", "edits", "start", "n_words"])
+
+        lot = own.mapInArrow(run, schema)
+        out = lot if out is None else out.unionByName(lot)
+    return spark.createDataFrame([], schema) if out is None else out
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, edits: int = EDITS, recall: float = RECALL, block: int = BLOCK) -> DataFrame:
+    """The rows of docs, with all their columns, that hold no item of the benchmark (see contaminated)."""
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    out, at = docs.toDF(*names), docs.columns.index("text")
+    for built in _blocks(benchmark, edits, recall, block):
+        index = docs.sparkSession.sparkContext.broadcast(built)
+
+        def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                keep = np.ones(batch.num_rows, bool)
+                for first, found in _found(index.value, texts_of(batch.column(at))):
+                    keep[[first + t for t, *_ in found]] = False
+                yield batch.filter(pa.array(keep))
 
-        out = own.mapInArrow(run, schema) if lots == 1 else out.unionByName(own.mapInArrow(run, schema))
-    return out
+        out = out.mapInArrow(run, out.schema)
+    return out.toDF(*docs.columns)
 
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

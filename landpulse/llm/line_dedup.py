@@ -36,8 +36,8 @@ def _chunks(docs: DataFrame, divisor: int) -> DataFrame:
     return ended.select("key", "th", F.explode(wide).alias("c")).select("key", "th", "c.*")
 
 
-def line_dedup(docs: DataFrame, divisor: int = DIVISOR) -> DataFrame:
-    """docs' rows as (key, th, doc_id, text, n_lines, removed, kept_text): removed lists (first, n) of the removed runs of lines.
+def line_dedup(docs: DataFrame, divisor: int = DIVISOR, carry: bool = False) -> DataFrame:
+    """docs' rows as (key, th, doc_id, text, n_lines, removed, kept_text), with carry also rest (see keyed()): removed lists (first, n) of the removed runs of lines.
 
     The occurrence with the smallest doc_id, then the first in the text, stays;
     a null doc_id comes before all. A null text counts as empty: one empty
@@ -51,7 +51,7 @@ def line_dedup(docs: DataFrame, divisor: int = DIVISOR) -> DataFrame:
     aggregation by text, so a chunk that a third of all documents share is
     summed up where it is read. No group is ever gathered.
     """
-    base = keyed(docs)
+    base = keyed(docs, carry)
     places = written(_chunks(base, divisor), "line-chunks")
     place = F.struct("key", "first", "th")
     repeated = places.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("h")
@@ -69,7 +69,7 @@ def line_dedup(docs: DataFrame, divisor: int = DIVISOR) -> DataFrame:
         lambda r, k: F.struct(F.coalesce(F.get("removed", k - 1)["first"] + F.get("removed", k - 1)["n"], F.lit(1)).alias("first"), r["first"].alias("to")),
     )
     kept = F.array_join(F.flatten(F.transform(gaps, lambda g: F.slice("lines", g["first"], g["to"] - g["first"]))), "\n")
-    return lines.select("key", "th", "doc_id", "text", F.size("lines").cast("long").alias("n_lines"), "removed", F.when(F.size("removed") == 0, F.col("text")).otherwise(kept).alias("kept_text"))
+    return lines.select("key", "th", "doc_id", "text", *["rest"] * carry, F.size("lines").cast("long").alias("n_lines"), "removed", F.when(F.size("removed") == 0, F.col("text")).otherwise(kept).alias("kept_text"))
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
