@@ -9,10 +9,12 @@ anchor that stands only once rules its windows out, whatever they hold.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,11 +28,14 @@ BYTES = _RANDOM.integers(1, 1 << 63, 256, np.uint64)
 STEPS = _RANDOM.integers(1, 1 << 62, 8, np.uint64) * np.uint64(2) + np.uint64(1)
 BASE = np.uint64(0x9E3779B97F4A7C15)
 #: Elements taken at a time; longer texts go piece by piece. Positions have PLACE bits beside a hash's upper ones.
-PIECE, PLACE = 1 << 21, 22
+PIECE, PLACE = 1 << 20, 21
 #: Occurrences of an anchor from which its prefix is extended to the whole window.
 COMMON = 4096
 
 
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
 def mixed_up(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
@@ -116,6 +121,7 @@ def candidates(docs: DataFrame, values: Callable[[list[bytes]], Iterator[np.ndar
                         rows.append((np.full(len(start), keys[i]), np.full(len(start), hashes[i]), anchor.view(np.int64), s.view(np.int64), start + a, n))
                 if rows:
                     yield _columns(rows, names)
+            tidy()
 
     runs = written(keyed(docs).select("key", "th", "text").mapInArrow(run, "key long, th long, anchor long, s long, start long, n long"), f"{name}-runs")
     known = runs.groupBy("anchor").agg(F.count(F.lit(1)).alias("times"), F.min("key").alias("lo"), F.max("key").alias("hi"), (F.min("s") != F.max("s")).alias("mixed"))
@@ -174,6 +180,7 @@ def grouped(rows: DataFrame, solve: Callable[[pa.Table], pa.RecordBatch], schema
             cut = int(np.searchsorted(anchor, anchor[-1]))
             if cut:
                 yield solve(whole.slice(0, cut))
+                tidy()
             held = whole.slice(cut).to_batches()
             size = sum(b.column("body").nbytes for b in held) if cut else 0
         if held:
@@ -197,17 +204,49 @@ def marks(lot: pa.Table, seg: np.ndarray, at: np.ndarray, first: np.ndarray) ->
 MARKS = "anchor long, s long, at long, n long, first long"
 
 
-def spans_by_doc(spans: DataFrame) -> DataFrame:
-    """(key, th, spans): sorted, from and to."""
-    return spans.groupBy("key", "th").agg(F.sort_array(F.collect_set(F.struct("a", "b"))).alias("spans"))
+def marked_runs(alike: DataFrame, unlike: DataFrame, marks_: DataFrame) -> DataFrame:
+    """(key, th, runs): for each document its runs, as start and marks (at, n, first).
+
+    alike has key, th, start, n and first: whole runs. unlike has key, th,
+    anchor, s and start, and takes the marks of its anchor and s. Marks stay
+    together in one row for each run, however often that run occurs.
+    """
+    one = F.struct(F.lit(0).cast("long").alias("at"), F.col("n").cast("long").alias("n"), F.col("first").cast("long").alias("first"))
+    whole = alike.select("key", "th", "start", F.array(one).alias("marks"))
+    of_run = marks_.groupBy("anchor", "s").agg(F.collect_set(F.struct("at", "n", "first")).alias("marks"))
+    parts = unlike.join(of_run, ["anchor", "s"]).select("key", "th", "start", "marks")
+    return whole.unionByName(parts).groupBy("key", "th").agg(F.collect_list(F.struct("start", "marks")).alias("runs"))
+
+
+def spans(runs: pa.Array, width: int, keys: np.ndarray | None = None) -> list[list[tuple[int, int]]]:
+    """The maximal spans (from, to) that each document's marks cover; with keys, only marks whose first is less than the document's key count."""
+    counts = pc.fill_null(pc.list_value_length(runs), 0).to_numpy(zero_copy_only=False)
+    run = runs.flatten()
+    start, lists = run.field("start").to_numpy(), run.field("marks")
+    sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+    mark = lists.flatten()
+    doc = np.repeat(np.repeat(np.arange(len(runs)), counts), sizes)
+    begin = np.repeat(start, sizes) + mark.field("at").to_numpy()
+    end = begin + mark.field("n").to_numpy() + width - 1
+    if keys is not None:
+        keep = mark.field("first").to_numpy() < keys[doc]
+        doc, begin, end = doc[keep], begin[keep], end[keep]
+    order = np.lexsort((begin, doc))
+    doc, begin, end = doc[order], begin[order], end[order]
+    out: list[list[tuple[int, int]]] = [[] for _ in range(len(runs))]
+    if len(doc):
+        wide = int(end.max()) + 1
+        reach = np.maximum.accumulate(end + doc * wide)
+        new = np.concatenate(([True], (doc[1:] != doc[:-1]) | (begin[1:] + doc[1:] * wide > reach[:-1])))
+        first = np.flatnonzero(new)
+        last = np.concatenate((first[1:], [len(doc)])) - 1
+        for d, a, b in zip(doc[first].tolist(), begin[first].tolist(), (reach[last] - doc[last] * wide).tolist(), strict=True):
+            out[d].append((a, b))
+    return out
 
 
-def merged(spans: list[dict]) -> list[tuple[int, int]]:
-    """Maximal runs of sorted spans."""
-    out: list[list[int]] = []
-    for x in spans:
-        if out and x["a"] <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], x["b"])
-        else:
-            out.append([x["a"], x["b"]])
-    return [(a, b) for a, b in out]
+def tidy() -> None:
+    """Gives memory that a batch no longer needs back to the system, where that can be asked for."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)

@@ -27,7 +27,7 @@ from .common import keyed, table
 #: Words of a window, and of a short prefix. Fixed by the contract and by taste.
 WINDOW, K = 50, 8
 #: Bytes of text for which subtrees are built at a time.
-LOT = 2 << 20
+LOT = 1 << 20
 
 
 def values(texts: list[bytes]) -> Iterator[np.ndarray]:
@@ -77,20 +77,17 @@ def _solve(lot: pa.Table) -> pa.RecordBatch:
     return anchors.marks(lot, seg, at, least[node])
 
 
-def repeated_spans(docs: DataFrame, name: str = "substring") -> DataFrame:
-    """(key, th, spans): the words (from, to) covered by windows that also start in a document with a smaller key. docs: as of keyed()."""
+def repeated_runs(docs: DataFrame, name: str = "substring") -> DataFrame:
+    """(key, th, runs): where windows of a document lie and the least key that has the same window (see anchors.spans). docs: as of keyed()."""
     found = anchors.candidates(docs, values, WINDOW, K, name, across=True)
-    span = lambda start, n: [start.alias("a"), (start + n + WINDOW - 1).alias("b")]
     # Runs of one anchor that are all alike: the least key has the first.
-    alike = found.where("not mixed and key > lo").select("key", "th", *span(F.col("start"), F.col("n")))
+    alike = found.where("not mixed and key > lo").select("key", "th", "start", "n", F.col("lo").alias("first"))
     mixed = found.where("mixed")
     short = anchors.grouped(anchors.bodies(docs, mixed.where("not common"), _words, WINDOW), _solve, anchors.MARKS, LOT)
     whole = anchors.bodies(docs, mixed.where("common"), _words, WINDOW, _windows)
     nodes_ = whole.groupBy("f1", "f2").agg(F.min("first").alias("least"))
     extended = whole.join(nodes_, ["f1", "f2"]).select("anchor", "s", "at", F.lit(1).cast("long").alias("n"), F.col("least").alias("first"))
-    marks = short.unionByName(extended).select("anchor", "s", "at", F.col("n").alias("m"), "first")
-    unlike = mixed.select("key", "th", "anchor", "s", "start").join(marks, ["anchor", "s"]).where("key > first").select("key", "th", *span(F.col("start") + F.col("at"), F.col("m")))
-    return anchors.spans_by_doc(alike.unionByName(unlike))
+    return anchors.marked_runs(alike, mixed.select("key", "th", "anchor", "s", "start"), short.unionByName(extended))
 
 
 def substring_dedup(docs: DataFrame, digest: bool = False) -> DataFrame:
@@ -104,15 +101,14 @@ def substring_dedup(docs: DataFrame, digest: bool = False) -> DataFrame:
     of docs aren't looked at.
     """
     base = keyed(docs)
-    joined = base.join(repeated_spans(base), ["key", "th"], "left").select("doc_id", "text", "spans")
+    joined = base.join(repeated_runs(base), ["key", "th"], "left").select("doc_id", "text", "key", "runs")
     last = "kept_sha256" if digest else "kept_text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts, removed, kept = [], [], []
-            for text, spans in zip(texts_of(batch.column(1)), batch.column(2), strict=True):
+            for text, gone in zip(texts_of(batch.column(1)), anchors.spans(batch.column(3), WINDOW, batch.column(2).to_numpy()), strict=True):
                 words = text.split()
-                gone = anchors.merged(spans.as_py() or [])
                 counts.append(len(words))
                 removed.append(sum(b - a for a, b in gone))
                 for a, b in reversed(gone):
@@ -120,6 +116,7 @@ def substring_dedup(docs: DataFrame, digest: bool = False) -> DataFrame:
                 text = b" ".join(words)
                 kept.append(hashlib.sha256(text).hexdigest() if digest else text.decode("utf-8", "replace"))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())], ["doc_id", "n_words", "n_removed", last])
+            anchors.tidy()
 
     return joined.mapInArrow(run, f"doc_id long, n_words long, n_removed long, {last} string")
 

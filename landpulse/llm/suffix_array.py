@@ -131,19 +131,16 @@ def _windows(body: bytes) -> list[bytes]:
     return [body[i : i + LENGTH] for i in range(len(body) - LENGTH + 1)]
 
 
-def repeated_spans(docs: DataFrame, name: str = "suffixes") -> DataFrame:
-    """(key, th, spans): bytes (from, to) covered by strings of LENGTH bytes that also start elsewhere. docs: as of keyed()."""
+def repeated_runs(docs: DataFrame, name: str = "suffixes") -> DataFrame:
+    """(key, th, runs): where strings of LENGTH bytes lie that also start elsewhere (see anchors.spans). docs: as of keyed()."""
     found = anchors.candidates(docs, hashed, LENGTH, K, name, across=False)
-    span = lambda start, n: [start.alias("a"), (start + n + LENGTH - 1).alias("b")]
-    alike = found.where("not mixed").select("key", "th", *span(F.col("start"), F.col("n")))
+    alike = found.where("not mixed").select("key", "th", "start", "n", F.lit(0).alias("first"))
     mixed = found.where("mixed")
     short = anchors.grouped(anchors.bodies(docs, mixed.where("not common"), _bytes, LENGTH), _solve, anchors.MARKS, LOT)
     whole = anchors.bodies(docs, mixed.where("common"), _bytes, LENGTH, _windows)
     again = whole.groupBy("f1", "f2").agg(F.sum("times").alias("all")).where(F.col("all") > 1)
     extended = whole.join(again, ["f1", "f2"], "left_semi").select("anchor", "s", "at", F.lit(1).cast("long").alias("n"), F.lit(0).cast("long").alias("first"))
-    marks = short.unionByName(extended).select("anchor", "s", "at", F.col("n").alias("m"))
-    unlike = mixed.select("key", "th", "anchor", "s", "start").join(marks, ["anchor", "s"]).select("key", "th", *span(F.col("start") + F.col("at"), F.col("m")))
-    return anchors.spans_by_doc(alike.unionByName(unlike))
+    return anchors.marked_runs(alike, mixed.select("key", "th", "anchor", "s", "start"), short.unionByName(extended))
 
 
 def suffix_dedup(docs: DataFrame, digest: bool = False) -> DataFrame:
@@ -156,19 +153,19 @@ def suffix_dedup(docs: DataFrame, digest: bool = False) -> DataFrame:
     looked at.
     """
     base = keyed(docs)
-    joined = base.join(repeated_spans(base), ["key", "th"], "left").select("doc_id", "text", "spans")
+    joined = base.join(repeated_runs(base), ["key", "th"], "left").select("doc_id", "text", "runs")
     last = "kept_sha256" if digest else "kept"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for text, spans in zip(texts_of(batch.column(1)), batch.column(2), strict=True):
-                gone = anchors.merged(spans.as_py() or [])
+            for text, gone in zip(texts_of(batch.column(1)), anchors.spans(batch.column(2), LENGTH), strict=True):
                 ends = [0, *(x for s in gone for x in s), len(text)]
                 kept = b"".join(text[a:b] for a, b in zip(ends[::2], ends[1::2], strict=True))
                 rows.append((len(text), len(text) - len(kept), len(gone), hashlib.sha256(kept).hexdigest() if digest else kept))
             types = [pa.int64(), pa.int64(), pa.int64(), pa.string() if digest else pa.binary()]
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True), types, strict=True))], ["doc_id", "n_bytes", "n_removed", "n_spans", last])
+            anchors.tidy()
 
     return joined.mapInArrow(run, f"doc_id long, n_bytes long, n_removed long, n_spans long, {last} {'string' if digest else 'binary'}")
 
