@@ -25,7 +25,7 @@ from .common import table
 
 NONE = np.iinfo(np.int32).max
 #: Chunks whose ids a worker remembers, and bytes of text taken at a time: bounds on memory, not on what is encoded.
-CACHE, LIBRARY_CACHE, SLICE = 400_000, 1_200_000, 6 << 20
+CACHE, LIBRARY_CACHE, SLICE = 400_000, 2_000_000, 6 << 20
 
 
 class PairIndex:

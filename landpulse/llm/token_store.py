@@ -56,7 +56,8 @@ class WaveletMatrix:
         planes, zeros, ones = [], [], []
         for level in range(max(len(found) - 1, 0).bit_length() - 1, -1, -1):
             bits = (seq & code.dtype.type(1 << level)) != 0
-            low, high = seq[~bits], seq[bits]
+            # Taking by position is several times faster than by mask.
+            low, high = seq.take(np.flatnonzero(~bits)), seq.take(np.flatnonzero(bits))
             planes.append(np.packbits(bits, bitorder="little"))
             zeros.append(len(low))
             ones.append(_ones(planes[-1]))
@@ -128,8 +129,8 @@ class WaveletMatrix:
         for level in range(len(self.planes) - 1, -1, -1):
             bits = np.unpackbits(self.planes[level], count=self.n, bitorder="little").view(bool)
             out = np.empty(self.n, kind)
-            out[~bits] = seq[: self.zeros[level]]
-            out[bits] = seq[self.zeros[level] :] | kind(1 << (len(self.planes) - 1 - level))
+            out[np.flatnonzero(~bits)] = seq[: self.zeros[level]]
+            out[np.flatnonzero(bits)] = seq[self.zeros[level] :] | kind(1 << (len(self.planes) - 1 - level))
             seq = out
         return self.names[seq] if self.n else np.zeros(0, "<u4")
 
