@@ -13,7 +13,7 @@ rare token or two of one range are shared; by the global order they lie in the
 other set's prefix too. Ranges are cut by size class, and a set that may be
 similar to one of the next class is indexed for both.
 
-Candidates pass exact bounds (sizes, then counts of tokens by range) and are
+Candidates pass exact bounds (sizes, then counts or shortened tokens) and are
 verified on whole sets. Connected components of the links are the result.
 """
 
@@ -23,21 +23,28 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .anchors import STEPS, mixed_up, word_hashes
+from .anchors import STEPS, mixed_up, tidy, word_hashes
 from .bpe import sliced, texts_of
 from .common import NO_ID, keyed, table, written
 from .graph import components
 
 #: Words of a shingle and least similarity in percent where no contract says otherwise.
 WORDS, PERCENT = 5, 80
-#: A token in the first prefixes of more sets than FREQUENT_FROM is frequent; at most FREQUENT_MOST tokens, the commonest, get that class (the list goes to all tasks). Which tokens have it changes costs, never links.
+#: Tokens of a lot of sets whose repeats are counted together.
+LOT = 2_000_000
+#: A token counted more often than FREQUENT_FROM is frequent; at most FREQUENT_MOST tokens, the commonest, get that class (the list goes to all tasks). Which tokens have it changes costs, never links.
 FREQUENT_FROM, FREQUENT_MOST = 8, 200_000
 #: Sets under one signature whose pairs are compared as they are; larger groups go by a pivot first.
 GROUP = 16
+#: Besides the pivot, a member of a larger group is compared with those so many places on in order of size.
+NEIGHBOURS = (1, 2)
+#: Members of such a group that one task compares with one another, or with as many others, at a time.
+BLOCK = 4096
 
 
 def shingle_sets(texts: list[bytes], k: int) -> list[np.ndarray]:
@@ -82,9 +89,13 @@ def signatures(tokens: np.ndarray, frequent: np.ndarray, percent: int) -> np.nda
     often = tokens[_among(tokens, frequent)]
     out = [rare]
     for scale in scales(n, percent):
-        ranges = (often >> np.uint64(32)) * np.uint64(max(1, (1 << scale) >> 2)) >> np.uint64(32)
+        # Two to eight tokens of the set a range, so that ranges always hold more tokens than there are ranges, by far.
+        ranges = (often >> np.uint64(32)) * np.uint64(max(1, (1 << scale) >> (2 if scale < 6 else 1))) >> np.uint64(32)
         # A token after the first of its range adds one to the sum.
-        upto = np.searchsorted(np.cumsum(np.concatenate(([False], ranges[1:] == ranges[:-1]))), need - len(rare)) + 1
+        gained = np.cumsum(np.concatenate(([False], ranges[1:] == ranges[:-1])))
+        if len(tokens) > 1 and (not len(often) or gained[-1] < need - len(rare)):
+            raise OverflowError("hashes of tokens are too uneven for combinations")
+        upto = np.searchsorted(gained, need - len(rare)) + 1
         for part in np.split(often[:upto], np.flatnonzero(np.diff(ranges[:upto].astype(np.int64))) + 1):
             for d in range(1, len(part)):
                 out.append(mixed_up(part[:-d] * STEPS[scale % 8] + part[d:] + np.uint64(scale)))
@@ -98,22 +109,37 @@ def _among(tokens: np.ndarray, listed: np.ndarray) -> np.ndarray:
 
 
 def sketch(tokens: np.ndarray) -> bytes:
-    """Counts of tokens by the upper bits of their hash, in a power of two of ranges, from a quarter to half the set's size; empty if a count is over 255."""
-    bits = max(0, len(tokens).bit_length() - 2)
-    counts = np.bincount((tokens >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(tokens), np.int64), minlength=1 << bits)
-    return counts.astype(np.uint8).tobytes() if len(counts) and counts.max() < 256 else b""
+    """Counts of tokens by the upper bits of their hash, half a byte each, in a power of two of ranges, half the set's size to all of it; empty if a count is over 15."""
+    bits = max(1, len(tokens).bit_length() - 1)
+    counts = np.bincount((tokens >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return (counts[::2] << 4 | counts[1::2]).astype(np.uint8).tobytes() if counts.max() < 16 else b""
 
 
-def most_shared(a: bytes, b: bytes) -> int:
+def sketch_bound(a: np.ndarray, b: np.ndarray) -> int:
     """At least as many as two sets with these sketches share."""
-    if not a or not b:
+    if not len(a) or not len(b):
         return 1 << 60
-    x, y = np.frombuffer(a, np.uint8).astype(np.int64), np.frombuffer(b, np.uint8).astype(np.int64)
+    x, y = (np.stack((z >> 4, z & 15), axis=1).reshape(-1) for z in (a, b))
     if len(x) > len(y):
         x, y = y, x
     return int(np.minimum(x, y.reshape(len(x), -1).sum(axis=1)).sum())
 
 
+def tags(tokens: np.ndarray) -> bytes:
+    """The upper 16 bits of each token, in order."""
+    return (tokens >> np.uint64(48)).astype("<u2").tobytes()
+
+
+def tag_bound(a: np.ndarray, b: np.ndarray) -> int:
+    """At least as many as two sets with these tags share, and hardly more."""
+    both = np.concatenate((a, b))
+    both.sort(kind="stable")
+    same = int((both[1:] == both[:-1]).sum())
+    own = int((a[1:] == a[:-1]).sum()) + int((b[1:] == b[:-1]).sum())
+    # Equal neighbours are common values or repeats within a set; repeats may be common again.
+    return same - own + min(own, len(a), len(b)) if own else same
+
+
 def linked(shared: int, n: int, m: int, percent: int) -> bool:
     return 100 * shared >= percent * (n + m - shared)
 
@@ -122,48 +148,78 @@ def _each(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[tuple[pa.Record
     """Slices of batches (text last), their sets and the sets' ids (0 without words)."""
     for batch in batches:
         texts = texts_of(batch.columns[-1])
-        for part in sliced(texts, 1 << 21):
+        for part in sliced(texts, 1 << 20):
             sets = shingle_sets([texts[i] for i in part], k)
             yield batch.slice(part.start, len(part)), part, sets, [xxhash.xxh3_64_intdigest(s.tobytes()) >> 1 if len(s) else 0 for s in sets]
+        tidy()
+
+
+def _views(column: pa.Array, kind: str) -> Iterator[np.ndarray]:
+    """Binary values as arrays, without a copy."""
+    return (np.frombuffer(x.as_buffer(), kind) for x in column)
 
 
-def _first_prefixes(docs: DataFrame, k: int, percent: int) -> DataFrame:
+def _counted(docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """(token, n): tokens of first prefixes, each time they stand in a set, and of what lies behind them those that sets of one lot share.
+
+    Tokens behind a first prefix matter where frequent ones in it push the
+    prefix on; most of them are alone, and never leave their task.
+    """
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own: dict[int, np.ndarray] = {}
+
+        def close() -> pa.RecordBatch:
+            cuts = [slack(len(s), percent) + 2 for s in own.values()]
+            first = np.concatenate([s[:c] for s, c in zip(own.values(), cuts, strict=True)])
+            behind, times = np.unique(np.concatenate([s[c:] for s, c in zip(own.values(), cuts, strict=True)]), return_counts=True)
+            tokens = np.concatenate((first, behind[times > 1]))
+            counts = np.concatenate((np.ones(len(first), np.int64), times[times > 1]))
+            own.clear()
+            return pa.RecordBatch.from_arrays([pa.array(tokens.view(np.int64)), pa.array(counts)], ["token", "n"])
+
+        size = 0
         for _, _, sets, ids in _each(batches, k):
-            own = {i: s[: slack(len(s), percent) + 2] for i, s in zip(ids, sets, strict=True) if len(s)}
-            if own:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(list(own.values())).view(np.int64))], ["token"])
+            own |= {i: s for i, s in zip(ids, sets, strict=True) if len(s)}
+            size += sum(map(len, sets))
+            if size >= LOT:
+                if own:
+                    yield close()
+                size = 0
+        if own:
+            yield close()
 
-    return docs.select("text").mapInArrow(run, "token long")
+    return docs.select("text").mapInArrow(run, "token long, n long")
 
 
 def frequent_tokens(docs: DataFrame, k: int, percent: int) -> np.ndarray:
     """Sorted; counted over all documents."""
-    often = _first_prefixes(docs, k, percent).groupBy("token").count().where(F.col("count") > FREQUENT_FROM).orderBy(F.desc("count"), "token").limit(FREQUENT_MOST)
+    often = _counted(docs, k, percent).groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") > FREQUENT_FROM).orderBy(F.desc("n"), "token").limit(FREQUENT_MOST)
     return np.sort(often.select("token").toArrow()["token"].to_numpy().view(np.uint64))
 
 
 def _sets(docs: DataFrame, k: int, percent: int, name: str) -> DataFrame:
-    """A written row for each row of docs: key, th, n, sid (the set's id), sigs, sketch; the last two are empty for copies within a slice."""
+    """A written row for each row of docs: key, th, n, sid (the set's id), sigs, sketch, tags; the last three are empty for copies within a slice."""
     frequent = docs.sparkSession.sparkContext.broadcast(frequent_tokens(docs, k, percent))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, _, sets, ids in _each(batches, k):
             seen: set[int] = {0}
-            sigs, sketches = [], []
+            sigs, sketches, tagged = [], [], []
             for s, i in zip(sets, ids, strict=True):
                 new = i not in seen
                 seen.add(i)
                 sigs.append(signatures(s, frequent.value, percent).view(np.int64) if new else np.zeros(0, np.int64))
                 sketches.append(sketch(s) if new else None)
+                tagged.append(tags(s) if new else None)
             ends = np.cumsum([0, *map(len, sigs)], dtype=np.int32)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array([len(s) for s in sets], pa.int64()), pa.array(ids, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*sigs, np.zeros(0, np.int64)]))), pa.array(sketches, pa.binary())], ["key", "th", "n", "sid", "sigs", "sketch"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array([len(s) for s in sets], pa.int64()), pa.array(ids, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*sigs, np.zeros(0, np.int64)]))), pa.array(sketches, pa.binary()), pa.array(tagged, pa.binary())], ["key", "th", "n", "sid", "sigs", "sketch", "tags"])
 
-    return written(docs.select("key", "th", "text").mapInArrow(run, "key long, th long, n long, sid long, sigs array<long>, sketch binary"), f"{name}-sets")
+    return written(docs.select("key", "th", "text").mapInArrow(run, "key long, th long, n long, sid long, sigs array<long>, sketch binary, tags binary"), f"{name}-sets")
 
 
 def _compare(rows: DataFrame, percent: int) -> DataFrame:
-    """(a, b, sig, n): candidates as a < b with sig null; of groups beyond GROUP, pairs with a pivot and each member as (sid, null, sig, n)."""
+    """(a, b, sig, n): candidates as a < b with sig null; of groups beyond GROUP, pairs with a pivot and with neighbours, and each member as (sid, null, sig, n)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.zeros((0, 3), np.int64)
@@ -201,6 +257,9 @@ def _compare(rows: DataFrame, percent: int) -> DataFrame:
                 pivot = np.full(len(own), big[2])
                 ok = (100 * big[1] >= percent * own[:, 1]) & (pivot != own[:, 2])
                 pairs.append(np.stack((pivot[ok], own[ok, 2]), axis=1))
+                for d in NEIGHBOURS:  # those next in size, who are the likeliest to be linked
+                    ok = 100 * own[:-d, 1] >= percent * own[d:, 1]
+                    pairs.append(np.stack((own[:-d, 2][ok], own[d:, 2][ok]), axis=1))
             pair = np.concatenate([np.zeros((0, 2), np.int64), *pairs])
             member = np.concatenate([x[:0], *members])
             if not len(pair) and not len(member):
@@ -237,12 +296,96 @@ def _likely(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             na, nb = (batch.column(i).to_pylist() for i in (2, 3))
-            ok = [linked(min(most_shared(x, y), n, m), n, m, percent) for x, y, n, m in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist(), na, nb, strict=True)]
+            ok = [linked(min(sketch_bound(x, y), n, m), n, m, percent) for x, y, n, m in zip(_views(batch.column(4), "u1"), _views(batch.column(5), "u1"), na, nb, strict=True)]
             yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
+            tidy()
 
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "sketcha", "sketchb").mapInArrow(run, "a long, b long")
 
 
+def _counts(sketches: np.ndarray, bits: int) -> np.ndarray:
+    """A row of counts by the upper bits for each sketch."""
+    return np.stack([np.bincount(s >> np.uint16(16 - bits) if bits else np.zeros(len(s), np.int64), minlength=1 << bits) for s in sketches]).astype(np.uint16)
+
+
+def _cross_parts(of: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of members (sig, sid, n, part) of one signature but different parts whose sizes and tags allow a link.
+
+    Signatures with the same first member have mostly the same members, so
+    they are taken together: a row for each of their members, with its list
+    of signatures. Members are dealt to pairs of blocks, in which each two
+    meet once; what isn't likely to be linked is never emitted.
+    """
+    groups = of.groupBy("sig").agg(F.min("part").alias("x"), F.max("part").alias("y"), F.min(F.struct("n", "sid"))["sid"].alias("pivot"), F.count(F.lit(1)).alias("m")).where("x < y")
+    sizes = groups.groupBy("pivot").agg(F.ceil(F.max("m") / BLOCK).cast("int").alias("blocks"))
+    rows = of.join(groups.select("sig", "pivot"), "sig").groupBy("pivot", "sid", "n", "part").agg(F.collect_list("sig").alias("sigs"))
+    tagged = sets.where("tags is not null").groupBy("sid").agg(F.first("tags").alias("tags"))
+    own = F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")
+    dealt = rows.join(tagged, "sid").join(sizes, "pivot").withColumn("block", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("pivot", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "sid", "n", "part", "sigs", "tags")
+
+    def near(x: dict[str, np.ndarray], y: dict[str, np.ndarray], same: bool) -> Iterator[np.ndarray]:
+        for bits in sorted(set(x["bits"].tolist())):
+            for other in sorted(set(y["bits"].tolist())):
+                p, q = np.flatnonzero(x["bits"] == bits), np.flatnonzero(y["bits"] == other)
+                if abs(bits - other) > 1:
+                    continue  # one is more than twice as large, or just too large
+                # Counts of tokens by ranges of hashes, a few tokens each, then fewer; then the tags themselves.
+                fine = max(1, min(bits, other, 10))
+                levels = [[_counts(z["tags"][at], b) for z, at in ((x, p), (y, q))] for b in (max(0, fine - 2), fine)]
+                n, part, sid, masks = y["n"][q], y["part"][q], y["sid"][q], y["masks"][q]
+                for row, k in enumerate(p.tolist()):
+                    m = x["n"][k]
+                    at = np.flatnonzero((part != x["part"][k]) & (100 * np.minimum(m, n) >= percent * np.maximum(m, n)) & ((sid > x["sid"][k]) if same else True))
+                    at = at[(masks[at] & x["masks"][k]).any(axis=1)]
+                    for left, right in levels:
+                        if len(at):
+                            shared = np.minimum(np.minimum(right[at], left[row]).sum(axis=1, dtype=np.int64), np.minimum(m, n[at]))
+                            at = at[100 * shared >= percent * (m + n[at] - shared)]
+                    at = np.array([c for c in at.tolist() if linked(min(tag_bound(x["tags"][k], y["tags"][q[c]]), int(m), int(n[c])), int(m), int(n[c]), percent)], np.int64)
+                    if len(at):
+                        yield np.sort(np.stack((np.full(len(at), x["sid"][k]), sid[at]), axis=1), axis=1)
+
+    def solve(group: pa.Table) -> pa.RecordBatch:
+        x = {c: group[c].to_numpy() for c in ("block", "sid", "n", "part")}
+        x["tags"] = np.array([*(np.frombuffer(v, "<u2") for v in group["tags"].to_pylist()), None], object)[:-1]
+        x["bits"] = np.array([len(v).bit_length() for v in x["tags"]])
+        lists = group["sigs"].combine_chunks()
+        which = np.unique(lists.flatten().to_numpy(), return_inverse=True)[1]
+        x["masks"] = np.zeros((len(x["sid"]), int(which.max()) // 64 + 1), np.uint64)
+        member = np.repeat(np.arange(len(x["sid"])), pc.list_value_length(lists).to_numpy())
+        np.bitwise_or.at(x["masks"], (member, which // 64), np.uint64(1) << (which % 64).astype(np.uint64))
+        i, j = group["i"][0].as_py(), group["j"][0].as_py()
+        if i == j:
+            found = list(near(x, x, True))
+        else:
+            found = list(near(*({c: v[x["block"] == b] for c, v in x.items()} for b in (i, j)), False))
+        pairs = np.unique(np.concatenate([np.zeros((0, 2), np.int64), *found]), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def ready(last: bool) -> Iterator[pa.RecordBatch]:
+            nonlocal held
+            whole = pa.Table.from_batches(held)
+            key = np.stack([whole[c].to_numpy() for c in ("pivot", "i", "j")], axis=1)
+            cuts = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1).tolist(), len(key)]
+            for a, b in zip(cuts, cuts[1:] if last else cuts[1:-1], strict=False):
+                if b - a > 1:
+                    yield solve(whole.slice(a, b - a))
+            held = [] if last else whole.slice(cuts[-2]).to_batches()
+
+        for batch in batches:
+            held.append(batch)
+            yield from ready(False)
+        if held:
+            yield from ready(True)
+        tidy()
+
+    return dealt.repartition("pivot", "i", "j").sortWithinPartitions("pivot", "i", "j").mapInArrow(run, "a long, b long")
+
+
 def _verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs (a, b) that are linked, by their whole sets."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
@@ -259,10 +402,10 @@ def _verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, k: int, percen
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ok = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                p, q = np.frombuffer(x, "S6"), np.frombuffer(y, "S6")
+            for p, q in zip(_views(batch.column(2), "S6"), _views(batch.column(3), "S6"), strict=True):
                 ok.append(linked(len(p) + len(q) - len(np.unique(np.concatenate((p, q)))), len(p), len(q), percent))
             yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
+            tidy()
 
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "tokensa", "tokensb").mapInArrow(run, "a long, b long")
 
@@ -278,9 +421,11 @@ def similarity_join(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, nam
     columns of docs aren't looked at. Shingles are told apart by 64-bit hashes.
 
     A signature's group of at most GROUP sets is compared pair by pair, within
-    the sizes that can link. A larger one is compared with its pivot; after
-    that, only pairs of different components are left to compare, so groups
-    of near copies cost their size and not its square.
+    the sizes that can link. In a larger one, members are compared with a
+    pivot and with those next in size, which joins near copies. After that,
+    only members of different components are left to compare: they are so
+    where they meet, by sizes and tags, and only pairs that may be linked go
+    on. So groups of near copies cost rows by their size.
     """
     base = keyed(docs)
     sets = _sets(base, k, percent, name)
@@ -292,12 +437,8 @@ def similarity_join(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, nam
     members = found.where("sig is not null").select(F.col("a").alias("sid"), "sig", "n").distinct()
     if not members.isEmpty():
         of = members.join(labels, members["sid"] == labels["v"], "left").select("sig", "n", "sid", F.coalesce("label", "sid").alias("part"))
-        split = of.groupBy("sig").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x < y").select("sig")
-        of = of.join(split, "sig", "left_semi")
-        low, high = of.alias("p"), of.alias("q")
-        left = low.join(high, F.expr(f"p.sig = q.sig AND p.part <> q.part AND p.sid < q.sid AND 100 * least(p.n, q.n) >= {percent} * greatest(p.n, q.n)"))
-        rest = left.select(F.col("p.sid").alias("a"), F.col("q.sid").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
-        more = _verified(base, sets, written(_likely(rest, sets, percent), f"{name}-likely"), k, percent)
+        rest = _cross_parts(of, sets, percent).distinct().join(pairs, ["a", "b"], "left_anti")
+        more = _verified(base, sets, written(rest, f"{name}-likely"), k, percent)
         links = written(links.unionByName(more), f"{name}-links")
         labels = components(links, name)
     reps = sets.where("n > 0").groupBy("sid").agg(F.min("key").alias("rep"))
