@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from .common import table
 
 NONE = np.iinfo(np.int32).max
-#: Chunks whose ids a worker remembers, and bytes of text taken at a time: bounds on memory, not on what is encoded.
-CACHE, LIBRARY_CACHE, SLICE = 400_000, 2_000_000, 6 << 20
+#: Chunks whose ids a worker remembers, bytes of text whose new chunks are encoded together, and bytes put out at a time: bounds on memory, not on what is encoded.
+CACHE, LIBRARY_CACHE, LEARN, SLICE = 400_000, 2_000_000, 20 << 20, 6 << 20
 
 
 class PairIndex:
@@ -78,7 +78,7 @@ class PairIndex:
         sym = np.fromiter((x for s in lists for x in s), np.int64, n)
         ends = np.cumsum(sizes)
         # Position n stands for no neighbour.
-        nxt, prv, rank = np.arange(1, n + 2), np.arange(-1, n), np.full(n + 1, NONE, np.int64)
+        nxt, prv, rank = np.arange(1, n + 2, dtype=np.int32), np.arange(-1, n, dtype=np.int32), np.full(n + 1, NONE, np.int32)
         full = sizes > 0
         nxt[ends[full] - 1] = n
         prv[(ends - sizes)[full]] = n
@@ -284,10 +284,22 @@ class ChunkCache:
                 kept = {c: known[c] for c in new if c in known}
                 known.clear()
                 known.update(kept)
-        for chunk, ids in zip(fresh, self.coder.encode_chunks(fresh), strict=True):
+        # A word in capitals or with punctuation is put together from its parts, which are often known.
+        parts: dict[bytes, tuple[bytes, bytes]] = {}
+        for chunk in fresh if self.coder.simple else []:
+            if m := SIMPLE.fullmatch(chunk.decode("utf-8", "replace")):
+                part = m[1].lower().encode(), m[2].encode()
+                if part != (chunk, b""):
+                    parts[chunk] = part
+        plain = {c for c in fresh if c not in parts} | {c for pair in parts.values() for c in pair if c and c not in self.ids}
+        for chunk, ids in zip(plain, self.coder.encode_chunks(list(plain)), strict=True):
             self.ids[chunk] = ids.tobytes()
             if self.text:
                 self.texts[chunk] = self.text(ids)
+        for chunk, (word, rest) in parts.items():
+            self.ids[chunk] = self.ids[word] + (self.ids[rest] if rest else b"")
+            if self.text:
+                self.texts[chunk] = b" ".join((self.texts[word], self.texts[rest])) if rest else self.texts[word]
 
     def encode(self, text: bytes) -> bytes:
         """Little-endian unsigned 32-bit ids."""
@@ -345,18 +357,20 @@ def bpe_encode(docs: DataFrame, tokenizer: str, digest: bool = False) -> DataFra
             raise ValueError("texts of chunks can only be joined where the tokenizer has no decoder")
         for batch in batches:
             texts = texts_of(batch.column(1))
-            for part in sliced(texts):
-                own = [texts[i] for i in part]
-                cache.learn(own)
-                ids = [cache.encode(t) for t in own]
-                back = [cache.decode(t) for t in own]
-                counts = pa.array([len(x) // 4 for x in ids], pa.int64())
-                if digest:
-                    rest = [pa.array([hashlib.sha256(x).hexdigest() for x in y]) for y in (ids, back)]
-                else:
-                    ends = np.cumsum([0, *(len(x) // 4 for x in ids)], dtype=np.int32)
-                    rest = [pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), "<i4"))), pa.array([x.decode("utf-8") for x in back])]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(part.start, len(part)), counts, *rest], ["doc_id", "n_tokens", *(["ids_sha256", "decoded_sha256"] if digest else ["ids", "decoded"])])
+            for lot in sliced(texts, LEARN):
+                cache.learn(texts[i] for i in lot)
+                for part in sliced(texts[lot.start : lot.stop]):
+                    start = lot.start + part.start
+                    own = texts[start : start + len(part)]
+                    ids = [cache.encode(t) for t in own]
+                    back = [cache.decode(t) for t in own]
+                    counts = pa.array([len(x) // 4 for x in ids], pa.int64())
+                    if digest:
+                        rest = [pa.array([hashlib.sha256(x).hexdigest() for x in y]) for y in (ids, back)]
+                    else:
+                        ends = np.cumsum([0, *(len(x) // 4 for x in ids)], dtype=np.int32)
+                        rest = [pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), "<i4"))), pa.array([x.decode("utf-8") for x in back])]
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, len(part)), counts, *rest], ["doc_id", "n_tokens", *(["ids_sha256", "decoded_sha256"] if digest else ["ids", "decoded"])])
 
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text")).mapInArrow(run, schema)
 
