@@ -192,15 +192,24 @@ def _counted(docs: DataFrame, k: int, percent: int) -> DataFrame:
     return docs.select("text").mapInArrow(run, "token long, n long")
 
 
-def frequent_tokens(docs: DataFrame, k: int, percent: int) -> np.ndarray:
-    """Sorted; counted over all documents."""
-    often = _counted(docs, k, percent).groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") > FREQUENT_FROM).orderBy(F.desc("n"), "token").limit(FREQUENT_MOST)
-    return np.sort(often.select("token").toArrow()["token"].to_numpy().view(np.uint64))
+def frequent_tokens(docs: DataFrame, k: int, percent: int, name: str) -> np.ndarray:
+    """Sorted; counted over all documents. Counts are classed by size, and so many of the upper classes come as FREQUENT_MOST has room for."""
+    often = _counted(docs, k, percent).groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") > FREQUENT_FROM)
+    often = written(often.withColumn("class", F.floor(F.log2("n") * 8).cast("int")), f"{name}-frequent")
+    least, room = None, FREQUENT_MOST
+    for row in sorted(often.groupBy("class").count().collect(), reverse=True):  # some hundred classes at most
+        room -= row["count"]
+        if room < 0:
+            break
+        least = row["class"]
+    if least is None:
+        return np.zeros(0, np.uint64)
+    return np.sort(often.where(F.col("class") >= least).select("token").toArrow()["token"].to_numpy().view(np.uint64))
 
 
 def _sets(docs: DataFrame, k: int, percent: int, name: str) -> DataFrame:
     """A written row for each row of docs: key, th, n, sid (the set's id), sigs, sketch, tags; the last three are empty for copies within a slice."""
-    frequent = docs.sparkSession.sparkContext.broadcast(frequent_tokens(docs, k, percent))
+    frequent = docs.sparkSession.sparkContext.broadcast(frequent_tokens(docs, k, percent, name))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, _, sets, ids in _each(batches, k):
