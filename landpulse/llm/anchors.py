@@ -9,7 +9,6 @@ anchor that stands only once rules its windows out, whatever they hold.
 
 from __future__ import annotations
 
-import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -20,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import sliced, texts_of
-from .common import keyed, written
+from .common import keyed, tidy, written
 
 _RANDOM = np.random.default_rng(20240501)
 #: A random number for each byte, and an odd multiplier for each doubling of a gram.
@@ -33,9 +32,6 @@ PIECE, PLACE = 1 << 20, 21
 COMMON = 4096
 
 
-_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
-
-
 def mixed_up(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
@@ -243,10 +239,3 @@ def spans(runs: pa.Array, width: int, keys: np.ndarray | None = None) -> list[li
         for d, a, b in zip(doc[first].tolist(), begin[first].tolist(), (reach[last] - doc[last] * wide).tolist(), strict=True):
             out[d].append((a, b))
     return out
-
-
-def tidy() -> None:
-    """Gives memory that a batch no longer needs back to the system, where that can be asked for."""
-    pa.default_memory_pool().release_unused()
-    if _TRIM is not None:
-        _TRIM(0)

@@ -21,11 +21,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import table, tidy
 
 NONE = np.iinfo(np.int32).max
 #: Chunks whose ids a worker remembers, bytes of text whose new chunks are encoded together, and bytes put out at a time: bounds on memory, not on what is encoded.
-CACHE, LIBRARY_CACHE, LEARN, SLICE = 400_000, 2_000_000, 20 << 20, 6 << 20
+CACHE, LIBRARY_CACHE, LEARN, SLICE = 300_000, 2_000_000, 16 << 20, 4 << 20
 
 
 class PairIndex:
@@ -359,6 +359,7 @@ def bpe_encode(docs: DataFrame, tokenizer: str, digest: bool = False) -> DataFra
             texts = texts_of(batch.column(1))
             for lot in sliced(texts, LEARN):
                 cache.learn(texts[i] for i in lot)
+                tidy()
                 for part in sliced(texts[lot.start : lot.stop]):
                     start = lot.start + part.start
                     own = texts[start : start + len(part)]

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Stands for a missing doc_id in keys: joins find it and it sorts first.
 NO_ID = -(2**63)
 
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -51,3 +55,10 @@ def keyed(docs: DataFrame, carry: bool = False) -> DataFrame:
 def folded(text: bytes) -> bytes:
     """A UTF-8 text in lower case."""
     return text.lower() if text.isascii() else text.decode("utf-8", "replace").lower().encode()
+
+
+def tidy() -> None:
+    """Gives memory that a batch no longer needs back to the system, where that can be asked for."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)

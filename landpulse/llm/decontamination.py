@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .anchors import BYTES, STEPS, mixed_up
 from .bpe import sliced, texts_of
-from .common import folded, table
+from .common import folded, table, tidy
 from .toxicity import _WORD
 
 #: Edits allowed for a hundred words of an item, and the share of such passages that the LSH must find.
@@ -214,6 +214,7 @@ def _found(index: Index, texts: list[bytes]) -> Iterator[tuple[int, list[tuple]]
     for part in sliced(texts, 1 << 20):
         words, counts = normal_words([texts[i] for i in part])
         yield part.start, index.matches(words, np.concatenate(([0], np.cumsum(counts))))
+    tidy()
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, edits: int = EDITS, recall: float = RECALL, block: int = BLOCK) -> DataFrame:

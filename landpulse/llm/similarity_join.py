@@ -28,9 +28,9 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .anchors import STEPS, mixed_up, tidy, word_hashes
+from .anchors import STEPS, mixed_up, word_hashes
 from .bpe import sliced, texts_of
-from .common import NO_ID, keyed, table, written
+from .common import NO_ID, keyed, table, tidy, written
 from .graph import components
 
 #: Words of a shingle and least similarity in percent where no contract says otherwise.

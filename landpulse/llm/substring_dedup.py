@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from . import anchors
 from .bpe import texts_of
-from .common import keyed, table
+from .common import keyed, table, tidy
 
 #: Words of a window, and of a short prefix. Fixed by the contract and by taste.
 WINDOW, K = 50, 8
@@ -116,7 +116,7 @@ def substring_dedup(docs: DataFrame, digest: bool = False) -> DataFrame:
                 text = b" ".join(words)
                 kept.append(hashlib.sha256(text).hexdigest() if digest else text.decode("utf-8", "replace"))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())], ["doc_id", "n_words", "n_removed", last])
-            anchors.tidy()
+            tidy()
 
     return joined.mapInArrow(run, f"doc_id long, n_words long, n_removed long, {last} string")
 

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from . import anchors
 from .bpe import texts_of
-from .common import keyed, table
+from .common import keyed, table, tidy
 
 #: Bytes of a repeat, and of an anchor.
 LENGTH, K = 200, 32
@@ -165,7 +165,7 @@ def suffix_dedup(docs: DataFrame, digest: bool = False) -> DataFrame:
                 rows.append((len(text), len(text) - len(kept), len(gone), hashlib.sha256(kept).hexdigest() if digest else kept))
             types = [pa.int64(), pa.int64(), pa.int64(), pa.string() if digest else pa.binary()]
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True), types, strict=True))], ["doc_id", "n_bytes", "n_removed", "n_spans", last])
-            anchors.tidy()
+            tidy()
 
     return joined.mapInArrow(run, f"doc_id long, n_bytes long, n_removed long, n_spans long, {last} {'string' if digest else 'binary'}")
 
