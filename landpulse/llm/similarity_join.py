@@ -420,13 +420,14 @@ def _verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, k: int, percen
 
 
 def similarity_join(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, name: str = "jaccard") -> DataFrame:
-    """(key, th, n, component): for each row of docs, its set's size and the least key that links reach.
+    """(key, th, n, component, class): for each row of docs, its set's size, the least key that links reach, and the id of its class of linked sets.
 
     Words are lower-cased (A-Z) and separated by ASCII white space; two texts
     link if 100 * |intersection| >= percent * |union|. Texts with equal sets
     are copies and take part once. A null text, like one without words, has
     size 0 and stays alone. Null doc_ids have the key NO_ID, which is smaller
-    than all; rows with one doc_id are linked only if their texts are. Other
+    than all; rows with one doc_id are linked only if their texts are, so
+    classes may share a component; class is a class's own, 0 without words. Other
     columns of docs aren't looked at. Shingles are told apart by 64-bit hashes.
 
     A signature's group of at most GROUP sets is compared pair by pair, within
@@ -453,9 +454,9 @@ def similarity_join(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, nam
     reps = sets.where("n > 0").groupBy("sid").agg(F.min("key").alias("rep"))
     named = labels.join(reps, labels["v"] == reps["sid"]).select("sid", "label", "rep")
     least = named.groupBy("label").agg(F.min("rep").alias("least"))
-    joined = named.join(least, "label").select("sid", "least")
-    of_set = reps.join(joined, "sid", "left").select("sid", F.coalesce("least", "rep").alias("component"))
-    return sets.select("key", "th", "n", "sid").join(of_set, "sid", "left").select("key", "th", "n", F.coalesce("component", "key").alias("component"))
+    joined = named.join(least, "label").select("sid", "label", "least")
+    of_set = reps.join(joined, "sid", "left").select("sid", F.coalesce("least", "rep").alias("component"), F.coalesce("label", "sid").alias("class"))
+    return sets.select("key", "th", "n", "sid").join(of_set, "sid", "left").select("key", "th", "n", F.coalesce("component", "key").alias("component"), F.coalesce("class", "sid").alias("class"))
 
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -160,3 +160,11 @@ def test_stages_take_odd_rows(spark):
     lines = corpus_pipeline.drop_repeated_lines(spark, docs, sf)
     assert lines.count() == docs.count() and lines.where("n_chars <> length(text)").count() == 0
     assert bpe.bpe_encode(lines, bpe.tokenizer_path()).count() == docs.count()
+
+
+def test_unlinked_documents_with_one_id_stay(spark):
+    text = lambda i: " ".join(f"t{i}w{j}" for j in range(30))
+    rows = [(d, text(i), "en", "s", 0) for i, d in enumerate([None, None, None, 7, 7, 8])]
+    linked = [(9, text(0), "en", "s", 0), (10, text(4), "en", "s", 0), rows[0], rows[3]]
+    kept = corpus_pipeline.one_of_each_group(spark, frame(spark, rows + linked), "/root/testdata/sf0.001").collect()
+    assert sorted((r.doc_id or 0, r.text) for r in kept) == sorted((r[0] or 0, r[1]) for r in rows)
