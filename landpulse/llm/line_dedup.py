@@ -4,6 +4,10 @@ A rolling hash over the hashes of neighbouring lines chooses chunk ends, so an
 inserted line moves only the boundaries near it. A chunk of two or more lines
 that occurs again anywhere is removed there; its first occurrence stays.
 Chunks are grouped by their whole text, which is the byte comparison.
+
+Boundaries depend on the lines before a passage, and chunks of one line stay,
+so much of what repeats isn't found (README). The pipeline takes each two
+neighbouring lines instead, which finds all of it.
 """
 
 from __future__ import annotations
@@ -36,7 +40,22 @@ def _chunks(docs: DataFrame, divisor: int) -> DataFrame:
     return ended.select("key", "th", F.explode(wide).alias("c")).select("key", "th", "c.*")
 
 
-def line_dedup(docs: DataFrame, divisor: int = DIVISOR, carry: bool = False) -> DataFrame:
+def _pairs(docs: DataFrame) -> DataFrame:
+    """(key, th, first, n, h) of each two neighbouring lines; n is 2, h hashes them."""
+    lines = docs.select("key", "th", F.split("text", "\n", -1).alias("lines"))
+    pairs = F.transform(F.sequence(F.lit(1), F.size("lines") - 1), lambda i: F.struct(i.alias("first"), F.lit(2).alias("n"), F.xxhash64(F.slice("lines", i, 2)).alias("h")))
+    return lines.where(F.size("lines") > 1).select("key", "th", F.explode(pairs).alias("c")).select("key", "th", "c.*")
+
+
+def _runs(pairs: Column) -> Column:
+    """The runs (first, n) that sorted pairs (first, 2) cover together."""
+    at = lambda k: F.get(pairs, k)["first"]
+    begins = F.filter(pairs, lambda p, k: (k == 0) | (at(k - 1) + 2 < p["first"]))
+    ends = F.filter(pairs, lambda p, k: (k == F.size(pairs) - 1) | (at(k + 1) > p["first"] + 2))
+    return F.transform(begins, lambda p, k: F.struct(p["first"].alias("first"), (F.get(ends, k)["first"] + 2 - p["first"]).alias("n")))
+
+
+def line_dedup(docs: DataFrame, divisor: int = DIVISOR, carry: bool = False, pairs: bool = False) -> DataFrame:
     """docs' rows as (key, th, doc_id, text, n_lines, removed, kept_text), with carry also rest (see keyed()): removed lists (first, n) of the removed runs of lines.
 
     The occurrence with the smallest doc_id, then the first in the text, stays;
@@ -46,21 +65,34 @@ def line_dedup(docs: DataFrame, divisor: int = DIVISOR, carry: bool = False) ->
     lines are lines. Single-line chunks always stay, so an empty text, or one
     of a single line, is returned as it is.
 
+    With pairs, each two neighbouring lines take the place of chunks: a line goes
+    if it and a neighbour stand together at an earlier place too, one that
+    overlaps them not counted. So of each passage of two lines or more that
+    stood before nothing stays, and no line goes whose text isn't kept earlier.
+    Pairs overlap: a pair's first occurrence stays but for what is itself a repeat
+    of something before it. Pairs are compared by their SHA-256.
+
     Scale: chunk hashes are counted with partial aggregation before any text
     moves; only chunks whose hash repeats are compared, again with partial
     aggregation by text, so a chunk that a third of all documents share is
     summed up where it is read. No group is ever gathered.
     """
     base = keyed(docs, carry)
-    places = written(_chunks(base, divisor), "line-chunks")
+    places = written(_pairs(base) if pairs else _chunks(base, divisor), "line-chunks")
     place = F.struct("key", "first", "th")
     repeated = places.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("h")
     by_doc = places.join(repeated, "h", "left_semi").groupBy("key", "th").agg(F.collect_set(F.struct("first", "n", "h")).alias("suspects"))
     with_text = base.join(by_doc, ["key", "th"]).select("key", "th", F.split("text", "\n", -1).alias("lines"), F.explode("suspects").alias("c"))
-    suspects = with_text.select("key", "th", "c.*", F.array_join(F.slice("lines", F.col("c.first"), F.col("c.n")), "\n").alias("chunk"))
+    chunk = F.array_join(F.slice("lines", F.col("c.first"), F.col("c.n")), "\n")
+    suspects = with_text.select("key", "th", "c.*", (F.unhex(F.sha2(chunk, 256)) if pairs else chunk).alias("chunk"))
     firsts = suspects.groupBy("h", "chunk").agg(F.min(place).alias("lo"), F.max(place).alias("hi")).where("lo != hi")
-    again = suspects.join(firsts, ["h", "chunk"]).where(place != F.col("lo")).select("key", "th", "first", "n")
+    later = place != F.col("lo")
+    if pairs:
+        later = later & ~((F.col("key") == F.col("lo.key")) & (F.col("th") == F.col("lo.th")) & (F.col("first") < F.col("lo.first") + F.col("n")))
+    again = suspects.join(firsts, ["h", "chunk"]).where(later).select("key", "th", "first", "n")
     removed = again.groupBy("key", "th").agg(F.sort_array(F.collect_set(F.struct("first", "n"))).alias("removed"))
+    if pairs:
+        removed = removed.select("key", "th", _runs(F.col("removed")).alias("removed"))
     joined = base.join(removed, ["key", "th"], "left").withColumn("removed", F.coalesce("removed", F.expr("cast(array() as array<struct<first:int,n:int>>)")))
     lines = joined.withColumn("lines", F.split("text", "\n", -1))
     # The kept stretches lie between the removed runs.

@@ -2,6 +2,7 @@ import pytest
 from corpora import corpus, frame, with_odd_rows
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from landpulse.llm import line_dedup, quality_rules, registry
 from oracle import same
 
@@ -51,6 +52,39 @@ def test_line_dedup(spark):
     assert line_dedup.line_dedup(frame(spark, [])).count() == 0
 
 
+def plain_pairs(rows):
+    """For each row, its text without the lines that stand with a neighbour at an earlier place."""
+    key = lambda r: (-(2**63) if r[0] is None else r[0])
+    split = [(r[1] or "").split("\n") for r in rows]
+    first = {}
+    for r, x in sorted(zip(rows, split, strict=True), key=lambda p: key(p[0])):
+        for i in range(len(x) - 1):
+            at, place = (x[i], x[i + 1]), (key(r), i, r[1])
+            first[at] = min(first.get(at, place), place, key=lambda p: p[:2])
+    out = []
+    for r, x in zip(rows, split, strict=True):
+        gone = set()
+        for i in range(len(x) - 1):
+            k, j, text = first[x[i], x[i + 1]]
+            if (k, j) != (key(r), i) and not (k == key(r) and i < j + 2):
+                gone |= {i, i + 1}
+        out.append("\n".join(y for i, y in enumerate(x) if i not in gone))
+    return out
+
+
+def test_no_repeated_passage_stays(spark):
+    rows = corpus(1)
+    rows += [(900 + i, f"before {i}\nshort one\nshort two\nafter {i}\nsame\nsame\nsame", None, None, 0) for i in range(12)]
+    got = {r.doc_id: r.kept_text for r in line_dedup.line_dedup(frame(spark, rows), pairs=True).collect()}
+    assert got == {r[0]: t for r, t in zip(rows, plain_pairs(rows), strict=True)}
+    assert got[900].endswith("after 0\nsame\nsame\nsame") and all(got[900 + i] == f"before {i}\nafter {i}" for i in range(1, 12))
+    staged = corpus_pipeline.drop_repeated_lines(spark, frame(spark, rows), DATA).collect()
+    assert {r.doc_id: r.text for r in staged} == got
+    odd = with_odd_rows(rows)
+    assert line_dedup.line_dedup(frame(spark, odd), pairs=True).count() == len(odd)
+    assert line_dedup.line_dedup(frame(spark, []), pairs=True).count() == 0
+
+
 def test_inserted_line_moves_few_boundaries():
     text = "\n".join(f"line number {i}" for i in range(200))
     before = {tuple(x) for _, x in chunks(text)}
