@@ -419,6 +419,34 @@ def _verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, k: int, percen
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "tokensa", "tokensb").mapInArrow(run, "a long, b long")
 
 
+def _first_links(base: DataFrame, k: int, percent: int, name: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Sets, what _compare() found, its pairs (a, b) and those of them that are linked."""
+    sets = _sets(base, k, percent, name)
+    rows = sets.where("size(sigs) > 0").select(F.explode("sigs").alias("sig"), "n", "sid")
+    found = written(_compare(rows, percent), f"{name}-candidates")
+    pairs = found.where("sig is null").select("a", "b").distinct()
+    links = written(_verified(base, sets, written(_likely(pairs, sets, percent), f"{name}-likely"), k, percent), f"{name}-links")
+    return sets, found, pairs, links
+
+
+def similarity_links(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, name: str = "jaccard") -> DataFrame:
+    """(key_a, th_a, key_b, th_b): every linked pair of different sets, once; each set by its least row (see similarity_join()).
+
+    In large groups each set is a part of its own, so all their pairs meet in
+    the blocks of _cross_parts(). There are as many rows as links: up to half
+    the square of a group of near copies.
+    """
+    base = keyed(docs)
+    sets, found, pairs, links = _first_links(base, k, percent, name)
+    members = found.where("sig is not null").select(F.col("a").alias("sid"), "sig", "n", F.col("a").alias("part")).distinct()
+    if not members.isEmpty():
+        rest = _cross_parts(members, sets, percent).distinct().join(pairs, ["a", "b"], "left_anti")
+        links = links.unionByName(_verified(base, sets, written(rest, f"{name}-likely"), k, percent))
+    reps = sets.where("n > 0").groupBy("sid").agg(F.min(F.struct("key", "th")).alias("rep"))
+    side = lambda c: reps.select(F.col("sid").alias(c), F.col("rep.key").alias(f"key_{c}"), F.col("rep.th").alias(f"th_{c}"))
+    return links.join(side("a"), "a").join(side("b"), "b").select("key_a", "th_a", "key_b", "th_b")
+
+
 def similarity_join(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, name: str = "jaccard") -> DataFrame:
     """(key, th, n, component, class): for each row of docs, its set's size, the least key that links reach, and the id of its class of linked sets.
 
@@ -438,11 +466,7 @@ def similarity_join(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, nam
     on. So groups of near copies cost rows by their size.
     """
     base = keyed(docs)
-    sets = _sets(base, k, percent, name)
-    rows = sets.where("size(sigs) > 0").select(F.explode("sigs").alias("sig"), "n", "sid")
-    found = written(_compare(rows, percent), f"{name}-candidates")
-    pairs = found.where("sig is null").select("a", "b").distinct()
-    links = written(_verified(base, sets, written(_likely(pairs, sets, percent), f"{name}-likely"), k, percent), f"{name}-links")
+    sets, found, pairs, links = _first_links(base, k, percent, name)
     labels = components(links, name)
     members = found.where("sig is not null").select(F.col("a").alias("sid"), "sig", "n").distinct()
     if not members.isEmpty():

@@ -128,6 +128,25 @@ def test_similarity_join(spark, monkeypatch, often, group, block, k, percent):
     assert got == plain_links(rows, k, percent)
 
 
+@pytest.mark.parametrize("group,block", [(16, 4096), (2, 7)])
+def test_similarity_links(spark, monkeypatch, group, block):
+    for name, value in (("FREQUENT_FROM", 0), ("GROUP", group), ("BLOCK", block)):
+        monkeypatch.setattr(similarity_join, name, value)
+    near = [(500 + i, " ".join(f"n{j if j != 3 * i else -i}" for j in range(150)), None, None, 0) for i in range(30)]
+    rows = [r for r in corpus(4, 90) if r[0] is not None] + near
+    sets = {}
+    for d, t, *_ in rows:
+        w = (t or "").encode().lower().split()
+        if w:
+            s = frozenset(tuple(w[i : i + 4]) for i in range(len(w) - 3)) if len(w) >= 4 else frozenset([tuple(w)])
+            sets[s] = min(sets.get(s, d), d)
+    of = list(sets.items())
+    want = sorted(tuple(sorted((x, y))) for i, (a, x) in enumerate(of) for b, y in of[:i] if 100 * len(a & b) >= 85 * len(a | b))
+    got = sorted(tuple(sorted((r.key_a, r.key_b))) for r in similarity_join.similarity_links(frame(spark, rows), 4, 85).collect())
+    assert got == want and len(want) > 400
+    assert similarity_join.similarity_links(frame(spark, [])).count() == 0
+
+
 def test_similarity_join_of_nothing(spark):
     assert similarity_join.similarity_join(frame(spark, [])).count() == 0
 
