@@ -1,41 +1,64 @@
-"""Where equal windows of documents can be: runs of windows filed under anchors.
-
-Every window of `width` elements (words or bytes) has an anchor, the k-gram in
-it with the least hash, the leftmost of equals. Equal windows have equal
-anchors at equal offsets, so all copies of a window meet under one anchor, and
-neighbouring windows with the same anchor travel together as one run. An
-anchor that stands only once rules its windows out, whatever they hold.
+"""Where equal windows of documents can be: runs of windows, grouped by prefixes of variable length.
+
+Every window of `width` elements (words or bytes) has an anchor, the gram of
+`gram` elements in it with the least hash, the leftmost of equals. Equal
+windows have equal anchors at equal offsets, so all copies of a window meet
+under one anchor, and neighbouring windows with the same anchor travel
+together as one run. An anchor that stands once rules its windows out,
+whatever they hold; equal runs (by 128 bits of BLAKE2 over their bytes) are
+read once, with their number.
+
+Runs of one anchor are a group. A group that is too large for one task is
+split: the windows of a run whose anchor lies in the front half of the
+offsets have more in common behind it, those of the rear half before it, so
+the part that all windows of a half share, anchor included, is a longer
+prefix by which they are filed anew. Halves are split again until groups fit;
+at the last step the prefix is the window itself, and a group one row.
 """
 
 from __future__ import annotations
 
+import dataclasses
+import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import sliced, texts_of
-from .common import keyed, tidy, written
+from .common import HOT, discard, join_split, keyed, tidy, written
+from .words import STEPS, mixed_up
 
-_RANDOM = np.random.default_rng(20240501)
-#: A random number for each byte, and an odd multiplier for each doubling of a gram.
-BYTES = _RANDOM.integers(1, 1 << 63, 256, np.uint64)
-STEPS = _RANDOM.integers(1, 1 << 62, 8, np.uint64) * np.uint64(2) + np.uint64(1)
-BASE = np.uint64(0x9E3779B97F4A7C15)
 #: Elements taken at a time; longer texts go piece by piece. Positions have PLACE bits beside a hash's upper ones.
 PIECE, PLACE = 1 << 20, 21
-#: Occurrences of an anchor from which its prefix is extended to the whole window.
-COMMON = 4096
 
 
-def mixed_up(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(32))
+@dataclasses.dataclass(frozen=True)
+class Kind:
+    """What windows consist of: elements that lie one after another in bytes, gap bytes apart."""
+
+    width: int
+    gram: int
+    gap: int
+    #: The most elements of a group.
+    lot: int
+    #: The bytes of a text.
+    normal: Callable[[bytes], bytes]
+    #: Where elements begin, and where one more would; None where bytes are the elements.
+    starts: Callable[[bytes], np.ndarray | None]
+    #: Hashes of the elements of each of several normal texts.
+    values: Callable[[list[bytes]], Iterator[np.ndarray]]
+
+    @property
+    def reach(self) -> int:
+        """Offsets that an anchor can have."""
+        return self.width - self.gram + 1
+
+    def cut(self, raw: bytes, starts: np.ndarray | None, at: int, n: int) -> bytes:
+        return raw[at : at + n] if starts is None else raw[starts[at] : starts[at + n] - self.gap]
 
 
 def grams(values: np.ndarray, k: int) -> np.ndarray:
@@ -47,31 +70,12 @@ def grams(values: np.ndarray, k: int) -> np.ndarray:
     return mixed_up(out)
 
 
-def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes, counts): of all words between ASCII white space, in order, and how many each text has."""
-    data = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
-    space = (data == 32) | ((data >= 9) & (data <= 13))
-    inside = ~space
-    first = inside.copy()
-    first[1:] &= space[:-1]
-    begin = np.flatnonzero(first)
-    ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
-    counts = np.diff(np.concatenate(([0], np.searchsorted(begin, ends))))
-    if not len(begin):
-        return np.zeros(0, np.uint64), counts
-    at = np.arange(len(data))
-    place = at - np.maximum.accumulate(np.where(first, at, 0))
-    powers = np.multiply.accumulate(np.concatenate((np.ones(1, np.uint64), np.full(int(place[inside].max()) + 1, BASE))))
-    values = np.where(inside, BYTES[data], np.uint64(0))
-    values *= powers[np.where(inside, place, 0)]
-    return mixed_up(np.add.reduceat(values, begin)), counts
-
-
-def runs_in(values: np.ndarray, width: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, number of windows, anchor's hash) of the runs in one sequence of fewer than 2^PLACE values."""
+def runs_in(values: np.ndarray, width: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(start, number of windows, anchor's hash, its offset in the first window) of the runs in one sequence of fewer than 2^PLACE values."""
     n = len(values) - width + 1
     if n <= 0:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        none = np.zeros(0, np.int64)
+        return none, none, np.zeros(0, np.uint64), none
     h = grams(values, k)
     mask = np.uint64((1 << PLACE) - 1)
     least = (h & ~mask) | np.arange(len(h), dtype=np.uint64)
@@ -81,7 +85,8 @@ def runs_in(values: np.ndarray, width: int, k: int) -> tuple[np.ndarray, np.ndar
         span *= 2
     least = np.minimum(least[:n], least[reach - span : reach - span + n]) & mask
     start = np.concatenate(([0], np.flatnonzero(least[1:] != least[:-1]) + 1))
-    return start, np.diff(np.concatenate((start, [n]))), h[least[start].astype(np.int64)]
+    place = least[start].astype(np.int64)
+    return start, np.diff(np.concatenate((start, [n]))), h[place], place - start
 
 
 def pieces(n: int, width: int) -> Iterator[tuple[int, int]]:
@@ -90,103 +95,147 @@ def pieces(n: int, width: int) -> Iterator[tuple[int, int]]:
         yield a, min(n, a + PIECE + width - 1)
 
 
-def _columns(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*rows, strict=True)], names)
+def digests(bodies: Iterator[bytes]) -> np.ndarray:
+    """128 bits of each body, as a row of two longs."""
+    return np.frombuffer(b"".join(hashlib.blake2b(b, digest_size=16).digest() for b in bodies), "<i8").reshape(-1, 2)
+
+
+RUNS = "key long, th long, anchor long, s1 long, s2 long, start int, n int, at int"
+#: What tells equal runs of a group.
+RUN = ["group", "s1", "s2"]
+
 
+def _batch(schema: str, columns: list) -> pa.RecordBatch:
+    fields = [x.split() for x in schema.split(", ")]
+    types = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+    return pa.RecordBatch.from_arrays([pa.array(c, types[t]) for c, (_, t) in zip(columns, fields, strict=True)], [f for f, _ in fields])
 
-def candidates(docs: DataFrame, values: Callable[[list[bytes]], Iterator[np.ndarray]], width: int, k: int, name: str, across: bool) -> DataFrame:
-    """Runs whose anchor stands more than once (across: in documents with different keys), as a written table.
 
-    (key, th, anchor, s, start, n; lo: the anchor's least key, mixed: whether
-    runs of the anchor differ, common: whether it stands more than COMMON
-    times). s is a hash of the run's elements. values gives each text's.
+def candidates(docs: DataFrame, kind: Kind, name: str, across: bool) -> DataFrame:
+    """Runs whose anchor stands more than once (across: in documents with different keys), as a written table: RUNS, with anchor as group.
+
+    Anchors that hold more than 1/HOT of all runs, HOT of them at most, are
+    looked up where their runs are; the runs of all others move to their anchor.
     """
-    names = ["key", "th", "anchor", "s", "start", "n"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, hashes, texts = batch.column(0).to_numpy(), batch.column(1).to_numpy(), texts_of(batch.column(2))
             for part in sliced(texts, PIECE):
                 rows = []
-                for i, seq in zip(part, values([texts[i] for i in part]), strict=True):
-                    for a, b in pieces(len(seq), width):
-                        own = np.ascontiguousarray(seq[a:b])
-                        start, n, anchor = runs_in(own, width, k)
-                        raw, size = memoryview(own).cast("B"), own.itemsize
-                        s = np.fromiter((xxhash.xxh3_64_intdigest(raw[x * size : (x + y + width - 1) * size]) for x, y in zip(start.tolist(), n.tolist(), strict=True)), np.uint64, len(start))
-                        rows.append((np.full(len(start), keys[i]), np.full(len(start), hashes[i]), anchor.view(np.int64), s.view(np.int64), start + a, n))
+                raws = [kind.normal(texts[i]) for i in part]
+                for i, raw, values in zip(part, raws, kind.values(raws), strict=True):
+                    starts = kind.starts(raw)
+                    for a, b in pieces(len(values), kind.width):
+                        start, n, anchor, at = runs_in(values[a:b], kind.width, kind.gram)
+                        start += a
+                        s = digests(kind.cut(raw, starts, x, y + kind.width - 1) for x, y in zip(start.tolist(), n.tolist(), strict=True))
+                        rows.append((np.full(len(start), keys[i]), np.full(len(start), hashes[i]), anchor.view(np.int64), s[:, 0], s[:, 1], start.astype(np.int32), n.astype(np.int32), at.astype(np.int32)))
                 if rows:
-                    yield _columns(rows, names)
+                    yield _batch(RUNS, [np.concatenate(c) for c in zip(*rows, strict=True)])
             tidy()
 
-    runs = written(keyed(docs).select("key", "th", "text").mapInArrow(run, "key long, th long, anchor long, s long, start long, n long"), f"{name}-runs")
-    known = runs.groupBy("anchor").agg(F.count(F.lit(1)).alias("times"), F.min("key").alias("lo"), F.max("key").alias("hi"), (F.min("s") != F.max("s")).alias("mixed"))
-    repeated = known.where("lo < hi" if across else "times > 1").select("anchor", "lo", "mixed", (F.col("times") > COMMON).alias("common"))
-    return written(runs.join(repeated, "anchor"), f"{name}-candidates")
+    runs = written(keyed(docs).select("key", "th", "text").mapInArrow(run, RUNS), f"{name}-runs")
+    known = runs.groupBy("anchor").agg(F.count(F.lit(1)).alias("times"), *([F.min("key").alias("lo"), F.max("key").alias("hi")] if across else []))
+    repeated = written(known.where("lo < hi" if across else "times > 1").select("anchor", "times"), f"{name}-anchors")
+    hot = repeated.where(F.col("times") * HOT > runs.count()).select("anchor")
+    found = written(join_split(runs, repeated.select("anchor"), ["anchor"], hot).withColumnRenamed("anchor", "group"), f"{name}-candidates")
+    discard(runs, repeated)
+    return found
 
 
-def bodies(docs: DataFrame, found: DataFrame, cut: Callable[[bytes], Callable[[int, int], bytes]], width: int, windows: Callable[[bytes], list[bytes]] | None = None) -> DataFrame:
-    """What the different runs in found hold: (anchor, s, times, first, n, body), read from the run with the least key.
+PARTS = "group long, s1 long, s2 long, times long, first long, at int, n int, body binary"
 
-    With windows, which lists a body's windows, (f1, f2, anchor, s, at, times, first) for each of them: a 128-bit fingerprint of the whole window.
-    """
-    place = F.struct("key", "th", "start", "n")
-    different = found.groupBy("anchor", "s").agg(F.count(F.lit(1)).alias("times"), F.min(place).alias("rep"))
-    by_doc = different.groupBy(F.col("rep.key").alias("key"), F.col("rep.th").alias("th")).agg(F.collect_list(F.struct("anchor", "s", "times", F.col("rep.start").alias("start"), F.col("rep.n").alias("n"))).alias("runs"))
-    # A text given twice is read once.
-    joined = docs.join(by_doc, ["key", "th"]).select("key", "th", "text", "runs")
+
+def _bodies(docs: DataFrame, different: DataFrame, kind: Kind) -> DataFrame:
+    """different (RUN, times, at, n, rep: a place) with the bytes of each run: PARTS; first is the place's key."""
+    runs = F.collect_list(F.struct(*RUN, "times", "at", "n", F.col("rep.start").alias("start")))
+    by_doc = different.groupBy(F.col("rep.key").alias("key"), F.col("rep.th").alias("th")).agg(runs.alias("runs"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, hashes, texts, lists = (c for c in (batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts_of(batch.column(2)), batch.column(3)))
-            for i, key in enumerate(keys):
-                out, get = [], cut(texts[i])
-                for r in lists[i].as_py():
-                    body = get(r["start"], r["n"] + width - 1)
-                    if windows is None:
-                        out.append((r["anchor"], r["s"], r["times"], key, r["n"], body))
-                    else:
-                        for at, w in enumerate(windows(body)):
-                            f = xxhash.xxh3_128_digest(w)
-                            out.append((int.from_bytes(f[:8], "little", signed=True), int.from_bytes(f[8:], "little", signed=True), r["anchor"], r["s"], at, r["times"], key))
-                if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names)
-
-    if windows is None:
-        names, types = ["anchor", "s", "times", "first", "n", "body"], [pa.int64()] * 5 + [pa.binary()]
-    else:
-        names, types = ["f1", "f2", "anchor", "s", "at", "times", "first"], [pa.int64()] * 7
-    out = joined.mapInArrow(run, ", ".join(f"{n} {'binary' if t == pa.binary() else 'long'}" for n, t in zip(names, types, strict=True)))
-    return out
+            texts, lists = texts_of(batch.column(1)), batch.column(2)
+            for i, key in enumerate(batch.column(0).to_pylist()):
+                raw, rows = kind.normal(texts[i]), lists[i].values
+                starts = kind.starts(raw)
+                cuts = zip(rows.field("start").to_pylist(), rows.field("n").to_pylist(), strict=True)
+                yield _batch(PARTS, [*(rows.field(c) for c in (*RUN, "times")), np.full(len(rows), key), rows.field("at"), rows.field("n"), [kind.cut(raw, starts, x, y + kind.width - 1) for x, y in cuts]])
+            tidy()
+
+    # One row for a text, however often it is given.
+    one = docs.select("key", "th", "text").join(by_doc, ["key", "th"]).dropDuplicates(["key", "th"])
+    return one.select("key", "text", "runs").mapInArrow(run, PARTS)
+
+
+def _extended(rows: DataFrame, kind: Kind, halves: list[tuple[int, int]], name: str) -> DataFrame:
+    """Parts of rows (PARTS) for each range of offsets in halves, filed under what all windows of a range share: PARTS, then of: the row that they are of, and shift: their place in it. A written table."""
+    schema = f"{PARTS}, of_group long, of_s1 long, of_s2 long, shift int"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, n, bodies = batch.column("at").to_numpy(), batch.column("n").to_numpy(), batch.column("body").to_pylist()
+            for lo, hi in halves:
+                most, least = np.minimum(at, hi - 1), np.maximum(at - n + 1, lo)
+                own = np.flatnonzero(most >= least)
+                shift, size = at[own] - most[own], most[own] - least[own] + 1
+                parts, prefixes = [], []
+                for i, a, m in zip(own.tolist(), shift.tolist(), size.tolist(), strict=True):
+                    starts = kind.starts(bodies[i])
+                    parts.append(kind.cut(bodies[i], starts, a, m + kind.width - 1))
+                    place = int(at[i])
+                    prefixes.append(b"%d:%d:" % (lo, hi) + kind.cut(bodies[i], starts, place - lo, kind.width - (hi - 1 - lo)))
+                parent = batch.take(pa.array(own))
+                s = digests(parts)
+                yield _batch(schema, [digests(prefixes)[:, 0], s[:, 0], s[:, 1], parent.column("times"), parent.column("first"), most[own], size, parts, *(parent.column(c) for c in RUN), shift])
+            tidy()
+
+    return written(rows.mapInArrow(run, schema), f"{name}-parts")
+
+
+def _sizes(rows: DataFrame, kind: Kind, name: str) -> tuple[DataFrame, DataFrame] | None:
+    """Groups of rows beyond kind.lot elements, and those of them with more than 1/HOT of all rows; None if there are none."""
+    sizes = rows.groupBy("group").agg(F.count(F.lit(1)).alias("rows"), F.sum(F.col("n") + kind.width - 1).alias("size"))
+    large = written(sizes.where(F.col("size") > kind.lot), f"{name}-large")
+    if large.isEmpty():
+        return None
+    return large.select("group"), large.where(F.col("rows") * HOT > rows.count()).select("group")
+
+
+def _inside(rows: DataFrame, large: tuple[DataFrame, DataFrame] | None) -> DataFrame:
+    return join_split(rows, large[0], ["group"], large[1])
+
+
+def _outside(rows: DataFrame, large: tuple[DataFrame, DataFrame] | None) -> DataFrame:
+    return rows if large is None else rows.join(F.broadcast(large[1]), "group", "left_anti").join(large[0], "group", "left_anti")
 
 
-def grouped(rows: DataFrame, solve: Callable[[pa.Table], pa.RecordBatch], schema: str, most: int) -> DataFrame:
-    """solve over groups of whole anchors of at least `most` bytes of bodies, or the last ones of a partition."""
+def _lots(rows: DataFrame, kind: Kind, solve: Callable[[pa.Table], pa.RecordBatch]) -> DataFrame:
+    """solve's MARKS over whole groups, as many at a time as a lot holds."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         size = 0
         for batch in batches:
             held.append(batch)
-            size += batch.column("body").nbytes
-            if size < most:
+            size += pc.sum(batch.column("n")).as_py() + batch.num_rows * (kind.width - 1)
+            if size < kind.lot:
                 continue
             whole = pa.Table.from_batches(held)
-            anchor = whole["anchor"].to_numpy()
-            cut = int(np.searchsorted(anchor, anchor[-1]))
+            group = whole["group"].to_numpy()
+            cut = int(np.searchsorted(group, group[-1]))
             if cut:
                 yield solve(whole.slice(0, cut))
                 tidy()
             held = whole.slice(cut).to_batches()
-            size = sum(b.column("body").nbytes for b in held) if cut else 0
+            size = sum(pc.sum(b.column("n")).as_py() + b.num_rows * (kind.width - 1) for b in held)
         if held:
             yield solve(pa.Table.from_batches(held))
 
-    return rows.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, schema)
+    return rows.repartition("group").sortWithinPartitions("group").mapInArrow(run, MARKS)
 
 
 def marks(lot: pa.Table, seg: np.ndarray, at: np.ndarray, first: np.ndarray) -> pa.RecordBatch:
-    """(anchor, s, at, n, first): stretches of neighbouring windows of a run, with equal first."""
+    """MARKS: stretches of neighbouring windows (at) of a run (seg, by its place in the lot), with equal first."""
     if len(seg):
         new = np.concatenate(([True], (seg[1:] != seg[:-1]) | (at[1:] != at[:-1] + 1) | (first[1:] != first[:-1])))
         begin = np.flatnonzero(new)
@@ -194,24 +243,47 @@ def marks(lot: pa.Table, seg: np.ndarray, at: np.ndarray, first: np.ndarray) ->
         seg, at, first = seg[begin], at[begin], first[begin]
     else:
         n = at
-    return pa.RecordBatch.from_arrays([pa.array(lot["anchor"].to_numpy()[seg]), pa.array(lot["s"].to_numpy()[seg]), pa.array(at.astype(np.int64)), pa.array(n.astype(np.int64)), pa.array(first.astype(np.int64))], ["anchor", "s", "at", "n", "first"])
+    return _batch(MARKS, [*(lot[c].to_numpy()[seg] for c in RUN), at.astype(np.int32), n.astype(np.int32), first.astype(np.int64)])
 
 
-MARKS = "anchor long, s long, at long, n long, first long"
+MARKS = "group long, s1 long, s2 long, at int, n int, first long"
 
 
-def marked_runs(alike: DataFrame, unlike: DataFrame, marks_: DataFrame) -> DataFrame:
-    """(key, th, runs): for each document its runs, as start and marks (at, n, first).
+def marked_runs(docs: DataFrame, kind: Kind, solve: Callable[[pa.Table], pa.RecordBatch], name: str, across: bool) -> DataFrame:
+    """(key, th, runs): for each document its runs with marks, as start and marks (at, n, first). docs: as of keyed().
 
-    alike has key, th, start, n and first: whole runs. unlike has key, th,
-    anchor, s and start, and takes the marks of its anchor and s. Marks stay
-    together in one row for each run, however often that run occurs.
+    solve sees groups whole (PARTS), each different run once, with times, how
+    often it stands, and first, the least key that has it; it returns MARKS.
     """
-    one = F.struct(F.lit(0).cast("long").alias("at"), F.col("n").cast("long").alias("n"), F.col("first").cast("long").alias("first"))
-    whole = alike.select("key", "th", "start", F.array(one).alias("marks"))
-    of_run = marks_.groupBy("anchor", "s").agg(F.collect_set(F.struct("at", "n", "first")).alias("marks"))
-    parts = unlike.join(of_run, ["anchor", "s"]).select("key", "th", "start", "marks")
-    return whole.unionByName(parts).groupBy("key", "th").agg(F.collect_list(F.struct("start", "marks")).alias("runs"))
+    found = candidates(docs, kind, name, across)
+    different = written(found.groupBy(*RUN, "at", "n").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct("key", "th", "start")).alias("rep")), f"{name}-different")
+    large = _sizes(different, kind, name)
+    solved = _lots(_bodies(docs, _outside(different, large), kind), kind, solve)
+    if large is not None:
+        rows = written(_bodies(docs, _inside(different, large), kind), f"{name}-parts")
+        solved = solved.unionByName(_split(rows, kind, solve, [(0, kind.reach)], name))
+    solved = written(solved, f"{name}-marks")
+    of_run = solved.groupBy(*RUN).agg(F.collect_set(F.struct("at", "n", "first")).alias("marks"))
+    hot = different.where(F.col("times") * HOT > found.count()).select(*RUN)
+    parts = join_split(found, of_run, RUN, hot).select("key", "th", "start", "marks")
+    return parts.groupBy("key", "th").agg(F.collect_list(F.struct("start", "marks")).alias("runs"))
+
+
+def _split(rows: DataFrame, kind: Kind, solve: Callable[[pa.Table], pa.RecordBatch], ranges: list[tuple[int, int]], name: str) -> DataFrame:
+    """MARKS of rows (PARTS) of groups that are too large, whose windows have offsets in one of ranges."""
+    halves = [x for lo, hi in ranges for x in ((lo, (lo + hi) // 2), ((lo + hi) // 2, hi)) if x[0] < x[1]]
+    parts = _extended(rows, kind, halves, name)
+    merged = written(parts.groupBy(*RUN, "at", "n").agg(F.sum("times").alias("times"), F.min("first").alias("first"), F.first("body").alias("body")), f"{name}-merged")
+    large = _sizes(merged, kind, name) if any(hi - lo > 1 for lo, hi in halves) else None
+    columns = [x.split()[0] for x in PARTS.split(", ")]
+    solved = _lots(_outside(merged, large).select(columns), kind, solve)
+    if large is not None:
+        solved = solved.unionByName(_split(_inside(merged, large).select(columns), kind, solve, halves, name))
+    # A part's marks, as marks of the runs that it is of.
+    solved = written(solved, f"{name}-marks")
+    hot = parts.groupBy(*RUN).count().where(F.col("count") * HOT > parts.count()).select(*RUN)
+    own = join_split(parts.select(*RUN, "of_group", "of_s1", "of_s2", "shift"), solved, RUN, hot)
+    return own.select(*(F.col(f"of_{c}").alias(c) for c in RUN), (F.col("at") + F.col("shift")).cast("int").alias("at"), "n", "first")
 
 
 def spans(runs: pa.Array, width: int, keys: np.ndarray | None = None) -> list[list[tuple[int, int]]]:

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 #: Stands for a missing doc_id in keys: joins find it and it sorts first.
 NO_ID = -(2**63)
+#: A key is hot if more than one in so many rows have it, hence there are fewer hot keys than that.
+HOT = 1000
 
 _TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
 
@@ -23,11 +25,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the folder that the cluster shares.
 
-    ``spark.checkpoint.dir`` names it. Only where that is unset, as in tests,
-    a temporary folder of this machine takes its place.
+    ``spark.checkpoint.dir`` names it. Where that is unset, a temporary folder
+    of this machine takes its place if all executors are on it, else it is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = f"file://{tempfile.mkdtemp(prefix='landpulse-')}"
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -37,7 +41,29 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """df as a table in the shared folder: lost executors can't take it along, and its lineage ends there."""
     path = work_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Removes tables made by written() that nothing reads any more, so that they don't add up on disk."""
+    for t in tables:
+        context = t.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(t.written_to)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def join_split(left: DataFrame, right: DataFrame, on: list[str], hot: DataFrame) -> DataFrame:
+    """The inner join of left with right, whose keys are unique, without moving left's rows of the hot keys.
+
+    hot holds keys that more than 1/HOT of the rows of a table share, so there
+    are at most HOT of them: they and their rows of right are broadcast. All
+    other rows meet by a shuffle, in which no key is large.
+    """
+    hot = F.broadcast(hot)
+    cold = left.join(hot, on, "left_anti").join(right, on)
+    return cold.unionByName(left.join(F.broadcast(right.join(hot, on, "left_semi")), on))
 
 
 def keyed(docs: DataFrame, carry: bool = False) -> DataFrame:

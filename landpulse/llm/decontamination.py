@@ -22,10 +22,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .anchors import BYTES, STEPS, mixed_up
 from .bpe import sliced, texts_of
 from .common import folded, table, tidy
 from .toxicity import _WORD
+from .words import PADDING, STEPS, edges, hashes, mixed_up
 
 #: Edits allowed for a hundred words of an item, and the share of such passages that the LSH must find.
 EDITS, RECALL = 20, 0.99
@@ -41,18 +41,10 @@ _PAD = np.uint64(0)
 def normal_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, counts) of words: runs of letters (lower-cased), digits and signs beyond ASCII."""
     texts = [folded(t) for t in texts]
-    low = _WORD[np.frombuffer(b" ".join(texts) + b" ", np.uint8)]
-    inside = low > 0
-    first = inside.copy()
-    first[1:] &= ~inside[:-1]
-    begin = np.flatnonzero(first)
-    counts = np.diff(np.concatenate(([0], np.searchsorted(begin, np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)))))
-    if not len(begin):
-        return np.zeros(0, np.uint64), counts
-    at = np.arange(len(low))
-    place = (at - np.maximum.accumulate(np.where(first, at, 0))) * inside
-    powers = np.multiply.accumulate(np.concatenate((np.ones(1, np.uint64), np.full(int(place.max()) + 1, STEPS[0]))))
-    return np.maximum(mixed_up(np.add.reduceat(np.where(inside, BYTES[low] * powers[place], _PAD), begin)), np.uint64(1)), counts
+    low = _WORD[np.frombuffer(b" ".join(texts) + b" " + PADDING, np.uint8)]
+    begin, end = edges(low > 0)
+    upto = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
+    return hashes(low, begin, end), np.diff(np.concatenate(([0], np.searchsorted(begin, upto))))
 
 
 @dataclasses.dataclass

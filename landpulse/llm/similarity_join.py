@@ -28,10 +28,10 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .anchors import STEPS, mixed_up, word_hashes
 from .bpe import sliced, texts_of
 from .common import NO_ID, keyed, table, tidy, written
 from .graph import components
+from .words import STEPS, mixed_up, split_words
 
 #: Words of a shingle and least similarity in percent where no contract says otherwise.
 WORDS, PERCENT = 5, 80
@@ -49,7 +49,7 @@ BLOCK = 4096
 
 def shingle_sets(texts: list[bytes], k: int) -> list[np.ndarray]:
     """Each text's shingles as sorted distinct 64-bit hashes; with fewer than k words, one for the whole sequence."""
-    hashes, counts = word_hashes([t.lower() for t in texts])
+    hashes, _, counts = split_words([t.lower() for t in texts])
     ends = np.cumsum(counts)
     grams = hashes
     for j in range(1, k):

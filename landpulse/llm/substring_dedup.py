@@ -1,93 +1,117 @@
 """Substring dedup by prefix-partitioned suffix trees over words.
 
-Suffixes are filed under a prefix of variable length, split into groups that
-fit in memory, and each group's subtree is built by itself, down to the depth
-of a window; its nodes there are the repeats. The prefix is read from the
-window's anchor on (see anchors.py): so many suffixes that begin near one
-another share one prefix and travel as one run of words. It has K words at
-first; a prefix that COMMON or more runs share is extended to the whole
-window, where a group is one node, which partial aggregation then sums up
-without ever gathering it.
+Suffixes are filed under prefixes of variable length, split into groups that
+fit in memory, and each group's subtree is built by itself: suffixes in
+lexicographic order and what neighbours have in common, which are the leaves
+and the internal nodes of a tree. Internal nodes as deep as a window are the
+repeats, and their leaves the places that hold them.
+
+A prefix is read from a window's anchor on (see anchors.py), so many suffixes
+that begin near one another share one and travel as one run of words. It has
+K words at first; prefixes with too many suffixes grow, to both sides of the
+anchor, until each group fits.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from . import anchors
 from .bpe import texts_of
 from .common import keyed, table, tidy
+from .words import edges, split_words
 
 #: Words of a window, and of a short prefix. Fixed by the contract and by taste.
 WINDOW, K = 50, 8
-#: Bytes of text for which subtrees are built at a time.
-LOT = 1 << 20
+#: Words of a group for which a subtree is built.
+LOT = 200_000
 
 
-def values(texts: list[bytes]) -> Iterator[np.ndarray]:
-    hashes, counts = anchors.word_hashes(texts)
-    yield from np.split(hashes, np.cumsum(counts)[:-1])
+def _starts(raw: bytes) -> np.ndarray:
+    """Where words begin in raw, which has one space between them."""
+    data = np.frombuffer(raw, np.uint8)
+    return np.concatenate(([0], np.flatnonzero(data == 32) + 1, [len(data) + 1] if len(data) else [])).astype(np.int64)
 
 
-def _words(text: bytes) -> Callable[[int, int], bytes]:
-    words = text.split()
-    return lambda start, n: b" ".join(words[start : start + n])
+def _values(texts: list[bytes]) -> Iterator[np.ndarray]:
+    hashes, _, counts = split_words(texts)
+    yield from np.split(hashes, np.cumsum(counts)[:-1])
 
 
-def _windows(body: bytes) -> list[bytes]:
-    words = body.split(b" ")
-    return [b" ".join(words[i : i + WINDOW]) for i in range(len(words) - WINDOW + 1)]
+KIND = anchors.Kind(WINDOW, K, 1, LOT, lambda text: b" ".join(text.split()), _starts, _values)
 
 
-def nodes(codes: np.ndarray, depth: int) -> np.ndarray:
-    """The node at that string depth which each suffix of codes passes, as a number in lexicographic order; shorter by depth - 1 than codes.
+class Subtree:
+    """The suffixes of codes that begin at places, down to a string depth, as the leaves (order) and branchings (shared) of a tree.
 
-    The tree is built downward by doubling: a node at depth 2d is a node at
-    depth d and the one that the suffix d places on passes. So equal numbers
-    mean equal elements, not equal hashes.
+    order lists places, by number, as their suffixes sort; shared is what each
+    has in common with the next. Suffixes are sorted by doubling: the rank at
+    depth 2d is that of the rank at depth d and the rank d places on, so equal
+    ranks mean equal elements. Each place needs depth codes from there on.
     """
-    level, at = codes.astype(np.int64), 1
-    while at < depth:
-        step = min(at, depth - at)
-        if len(level) <= step:
-            return level[:0]
-        left, right = level[:-step], level[step:]
-        level = np.unique(left * (int(level.max()) + 1) + right, return_inverse=True)[1]
-        at += step
-    return level
+
+    def __init__(self, codes: np.ndarray, places: np.ndarray, depth: int) -> None:
+        levels, at = [codes.astype(np.int64)], 1
+        spans = [1]
+        while at < depth:
+            step, level = min(at, depth - at), levels[-1]
+            key = level[:-step] * (int(level.max(initial=0)) + 1) + level[step:] if len(level) > step else level[:0]
+            levels.append(np.unique(key, return_inverse=True)[1])
+            at += step
+            spans.append(at)
+        rank = levels[-1][places]
+        self.order = np.argsort(rank, kind="stable")
+        a, b = places[self.order[:-1]], places[self.order[1:]]
+        self.shared = np.where(levels[-1][a] == levels[-1][b], depth, 0)
+        differ = np.flatnonzero(self.shared == 0)
+        for span, level in zip(spans[-2::-1], levels[-2::-1], strict=True):  # the longest whole levels first
+            x, y = a[differ] + self.shared[differ], b[differ] + self.shared[differ]
+            inside = np.maximum(x, y) < len(level)
+            same = inside & (level[np.where(inside, x, 0)] == level[np.where(inside, y, 0)])
+            self.shared[differ[same]] += span
+
+    def tops(self, least: int) -> tuple[np.ndarray, np.ndarray]:
+        """(from, to) of the internal nodes of that string depth or more with none such above them: their leaves are order[from:to]."""
+        begin, end = edges(np.append(self.shared >= least, False))
+        return begin, end + 1
+
+    def internal(self, least: int) -> Iterator[tuple[int, int, int]]:
+        """(depth, from, to) of all internal nodes of that string depth or more, the deeper ones first; each is a repeat of that length that can't be longer to the right in all its leaves."""
+        for begin, end in zip(*self.tops(least), strict=True):
+            path: list[tuple[int, int]] = []
+            for i, d in enumerate([*self.shared[begin : end - 1].tolist(), -1], int(begin)):
+                left = i
+                while path and path[-1][0] > d:
+                    depth, left = path.pop()
+                    yield depth, left, i + 1
+                if d >= 0 and (not path or path[-1][0] < d):
+                    path.append((d, left))
 
 
 def _solve(lot: pa.Table) -> pa.RecordBatch:
-    """For each window of each run, the least key of a document with a window of the same words."""
+    """For each window of each run that is a repeat, the least key of a document that has it: the least among the leaves of its internal node."""
     words = pa.array(b" ".join(lot["body"].to_pylist()).split(b" "), pa.binary())
     codes = words.dictionary_encode().indices.to_numpy()
-    n, first = lot["n"].to_numpy(), lot["first"].to_numpy()
-    begin = np.cumsum(n + WINDOW - 1) - (n + WINDOW - 1)
+    n, first, times = lot["n"].to_numpy().astype(np.int64), lot["first"].to_numpy(), lot["times"].to_numpy()
+    length = n + WINDOW - 1
     seg = np.repeat(np.arange(len(n)), n)
     at = np.arange(len(seg)) - np.repeat(np.cumsum(n) - n, n)
-    node = nodes(codes, WINDOW)[begin[seg] + at]
-    least = np.full(int(node.max()) + 1, np.iinfo(np.int64).max)
-    np.minimum.at(least, node, first[seg])
-    return anchors.marks(lot, seg, at, least[node])
-
-
-def repeated_runs(docs: DataFrame, name: str = "substring") -> DataFrame:
-    """(key, th, runs): where windows of a document lie and the least key that has the same window (see anchors.spans). docs: as of keyed()."""
-    found = anchors.candidates(docs, values, WINDOW, K, name, across=True)
-    # Runs of one anchor that are all alike: the least key has the first.
-    alike = found.where("not mixed and key > lo").select("key", "th", "start", "n", F.col("lo").alias("first"))
-    mixed = found.where("mixed")
-    short = anchors.grouped(anchors.bodies(docs, mixed.where("not common"), _words, WINDOW), _solve, anchors.MARKS, LOT)
-    whole = anchors.bodies(docs, mixed.where("common"), _words, WINDOW, _windows)
-    nodes_ = whole.groupBy("f1", "f2").agg(F.min("first").alias("least"))
-    extended = whole.join(nodes_, ["f1", "f2"]).select("anchor", "s", "at", F.lit(1).cast("long").alias("n"), F.col("least").alias("first"))
-    return anchors.marked_runs(alike, mixed.select("key", "th", "anchor", "s", "start"), short.unionByName(extended))
+    tree = Subtree(codes, (np.cumsum(length) - length)[seg] + at, WINDOW)
+    least = first[seg]
+    begin, end = tree.tops(WINDOW)
+    if len(begin):
+        ends = np.stack((begin, end), axis=1).reshape(-1)
+        low = np.minimum.reduceat(np.append(least[tree.order], np.iinfo(np.int64).max), ends)[::2]
+        size = end - begin
+        leaves = tree.order[np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))]
+        least[leaves] = np.repeat(low, size)
+    keep = (least < first[seg]) | (times[seg] > 1)
+    return anchors.marks(lot, seg[keep], at[keep], least[keep])
 
 
 def substring_dedup(docs: DataFrame, digest: bool = False) -> DataFrame:
@@ -101,7 +125,7 @@ def substring_dedup(docs: DataFrame, digest: bool = False) -> DataFrame:
     of docs aren't looked at.
     """
     base = keyed(docs)
-    joined = base.join(repeated_runs(base), ["key", "th"], "left").select("doc_id", "text", "key", "runs")
+    joined = base.join(anchors.marked_runs(base, KIND, _solve, "substring", across=True), ["key", "th"], "left").select("doc_id", "text", "key", "runs")
     last = "kept_sha256" if digest else "kept_text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

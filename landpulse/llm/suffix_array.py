@@ -4,21 +4,20 @@ Only suffixes smaller than their successors are sorted directly; a scan over
 the buckets of first bytes induces the places of all others. Common prefixes
 of neighbours in the array then show the repeats.
 
-Texts come in lots: runs of windows that share an anchor (see anchors.py),
-each different run once, so copies are neither sorted nor sent again. Anchors
-with COMMON runs or more are taken window by window instead, by partial
-aggregation over fingerprints of whole windows, and never gathered.
+Texts come in lots: groups of runs of windows (see anchors.py), each different
+run once, with the number of its copies, so copies are neither sorted nor sent
+again. Every run whose anchor repeats goes through an array; groups beyond a
+lot are split by longer prefixes until they fit.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from . import anchors
 from .bpe import texts_of
@@ -28,6 +27,8 @@ from .common import keyed, table, tidy
 LENGTH, K = 200, 32
 #: Bytes of runs in one suffix array.
 LOT = 1 << 20
+#: A random number for each byte.
+_RANDOM = np.random.default_rng(20240501).integers(1, 1 << 63, 256, np.uint64)
 
 
 def suffix_array(text: np.ndarray, depth: int = LENGTH) -> np.ndarray:
@@ -96,7 +97,7 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, most: int = LENGTH) ->
 
 def _solve(lot: pa.Table) -> pa.RecordBatch:
     """The windows of runs that stand more than once: in copies of the run, or elsewhere in the suffix array."""
-    n, times = lot["n"].to_numpy(), lot["times"].to_numpy()
+    n, times = lot["n"].to_numpy().astype(np.int64), lot["times"].to_numpy()
     text = np.frombuffer(b"".join(lot["body"].to_pylist()), np.uint8)
     length = n + LENGTH - 1
     begin = np.cumsum(length) - length
@@ -113,34 +114,12 @@ def _solve(lot: pa.Table) -> pa.RecordBatch:
     return anchors.marks(lot, seg[keep], at[keep], np.zeros(int(keep.sum()), np.int64))
 
 
-def values(texts: list[bytes]) -> Iterator[np.ndarray]:
+def _values(texts: list[bytes]) -> Iterator[np.ndarray]:
     for t in texts:
-        yield np.frombuffer(t, np.uint8)
+        yield _RANDOM[np.frombuffer(t, np.uint8)]
 
 
-def hashed(texts: list[bytes]) -> Iterator[np.ndarray]:
-    for t in texts:
-        yield anchors.BYTES[np.frombuffer(t, np.uint8)]
-
-
-def _bytes(text: bytes) -> Callable[[int, int], bytes]:
-    return lambda start, n: text[start : start + n]
-
-
-def _windows(body: bytes) -> list[bytes]:
-    return [body[i : i + LENGTH] for i in range(len(body) - LENGTH + 1)]
-
-
-def repeated_runs(docs: DataFrame, name: str = "suffixes") -> DataFrame:
-    """(key, th, runs): where strings of LENGTH bytes lie that also start elsewhere (see anchors.spans). docs: as of keyed()."""
-    found = anchors.candidates(docs, hashed, LENGTH, K, name, across=False)
-    alike = found.where("not mixed").select("key", "th", "start", "n", F.lit(0).alias("first"))
-    mixed = found.where("mixed")
-    short = anchors.grouped(anchors.bodies(docs, mixed.where("not common"), _bytes, LENGTH), _solve, anchors.MARKS, LOT)
-    whole = anchors.bodies(docs, mixed.where("common"), _bytes, LENGTH, _windows)
-    again = whole.groupBy("f1", "f2").agg(F.sum("times").alias("all")).where(F.col("all") > 1)
-    extended = whole.join(again, ["f1", "f2"], "left_semi").select("anchor", "s", "at", F.lit(1).cast("long").alias("n"), F.lit(0).cast("long").alias("first"))
-    return anchors.marked_runs(alike, mixed.select("key", "th", "anchor", "s", "start"), short.unionByName(extended))
+KIND = anchors.Kind(LENGTH, K, 0, LOT, lambda text: text, lambda raw: None, _values)
 
 
 def suffix_dedup(docs: DataFrame, digest: bool = False) -> DataFrame:
@@ -153,7 +132,7 @@ def suffix_dedup(docs: DataFrame, digest: bool = False) -> DataFrame:
     looked at.
     """
     base = keyed(docs)
-    joined = base.join(repeated_runs(base), ["key", "th"], "left").select("doc_id", "text", "runs")
+    joined = base.join(anchors.marked_runs(base, KIND, _solve, "suffixes", across=False), ["key", "th"], "left").select("doc_id", "text", "runs")
     last = "kept_sha256" if digest else "kept"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,6 +1,7 @@
 """Substring, suffix-array and similarity operators against brute force."""
 
 import collections
+import dataclasses
 import hashlib
 
 import numpy as np
@@ -8,7 +9,7 @@ import pytest
 from corpora import corpus, frame, with_odd_rows
 from pyspark.sql import functions as F
 
-from landpulse.llm import anchors, similarity_join, substring_dedup, suffix_array
+from landpulse.llm import anchors, decontamination, similarity_join, substring_dedup, suffix_array, words
 from landpulse.llm.common import NO_ID
 
 
@@ -47,15 +48,45 @@ def plain_strings(rows):
     return out
 
 
-@pytest.mark.parametrize("common", [4096, 3])
-def test_substrings(spark, monkeypatch, common):
-    monkeypatch.setattr(anchors, "COMMON", common)
+@pytest.mark.parametrize("small", [False, True])
+def test_substrings(spark, monkeypatch, small):
+    if small:  # groups beyond so many words and bytes are split, down to single windows
+        for m, lot in zip((substring_dedup, suffix_array), (120, 500), strict=True):
+            monkeypatch.setattr(m, "KIND", dataclasses.replace(m.KIND, lot=lot))
+        monkeypatch.setattr(anchors, "HOT", 1)  # no key is hot
     rows = with_odd_rows(corpus(3))
     df = frame(spark, rows).withColumn("key", F.lit("k")).withColumn("spans", F.lit(0))
     assert collections.Counter(map(tuple, substring_dedup.substring_dedup(df, True).collect())) == plain_windows(rows)
     assert collections.Counter(map(tuple, suffix_array.suffix_dedup(df, True).collect())) == plain_strings(rows)
 
 
+def thue_morse(letters, swap=False):
+    return "".join("ab"[(i.bit_count() + swap) % 2] for i in range(letters))
+
+
+@pytest.mark.parametrize("letters", [1024, 2048])
+def test_words_that_polynomial_hashes_take_for_one(spark, letters):
+    """Thue-Morse words and their complements agree in every such hash modulo a power of two."""
+    a, b = thue_morse(letters), thue_morse(letters, True)
+    filled = lambda x: " ".join([x] + [f"w{i}" for i in range(58)] + [x])
+    rows = [(0, filled(a), None, None, 0), (1, filled(b), None, None, 0), (2, " ".join([a] * 60), None, None, 0), (3, " ".join([b] * 60), None, None, 0)]
+    df = frame(spark, rows)
+    assert collections.Counter(map(tuple, substring_dedup.substring_dedup(df, True).collect())) == plain_windows(rows)
+    got = collections.Counter((r.key, r.n, r.component) for r in similarity_join.similarity_join(df, 4, 85).collect())
+    assert got == plain_links(rows, 4, 85)
+    assert len(set(decontamination.normal_words([a.encode(), b.encode()])[0].tolist())) == 2
+
+
+def test_word_hashes():
+    rng = np.random.default_rng(4)
+    texts = [b"", b" ", b"a", rng.bytes(5000), b"x" * 700 + b" " + b"x" * 701 + b"\x00 \x00\x00", b"tail " * 3]
+    found, sizes, counts = words.split_words(texts)
+    plain = [w for t in texts for w in t.split()]
+    assert counts.tolist() == [len(t.split()) for t in texts] and sizes.tolist() == [len(w) for w in plain]
+    by_word = dict(zip(plain, found.tolist(), strict=True))
+    assert [by_word[w] for w in plain] == found.tolist() and len(set(by_word.values())) == len(by_word)
+
+
 def test_empty_and_texts(spark):
     assert substring_dedup.substring_dedup(frame(spark, [])).count() == 0
     assert suffix_array.suffix_dedup(frame(spark, [])).count() == 0
@@ -67,7 +98,7 @@ def test_empty_and_texts(spark):
 def test_pieces_cover_each_window_once(monkeypatch):
     monkeypatch.setattr(anchors, "PIECE", 64)
     seq = np.random.default_rng(0).integers(0, 4, 500).astype(np.uint64)
-    found = sorted((a + int(s) + j) for a, b in anchors.pieces(len(seq), 20) for s, n, _ in zip(*anchors.runs_in(seq[a:b], 20, 4), strict=True) for j in range(n))
+    found = sorted((a + int(s) + j) for a, b in anchors.pieces(len(seq), 20) for s, n, _, _ in zip(*anchors.runs_in(seq[a:b], 20, 4), strict=True) for j in range(n))
     assert found == list(range(len(seq) - 19))
 
 
@@ -86,12 +117,23 @@ def test_suffix_array(n, letters):
         assert got == same or (got > same and same == min(len(p), len(q)))
 
 
-def test_nodes():
+@pytest.mark.parametrize("depth", [1, 2, 3, 7, 50])
+def test_subtree(depth):
     codes = np.random.default_rng(1).integers(0, 2, 300)
-    for depth in (1, 2, 3, 7, 50):
-        names = substring_dedup.nodes(codes, depth).tolist()
-        grams = [tuple(codes[i : i + depth]) for i in range(300 - depth + 1)]
-        assert len(names) == len(grams) and len({*zip(names, grams, strict=True)}) == len({*names}) == len({*grams})
+    codes[200:260] = codes[20:80]
+    places = np.flatnonzero(np.random.default_rng(2).integers(0, 4, 300 - depth + 1))
+    tree = substring_dedup.Subtree(codes, places, depth)
+    grams = [tuple(codes[p : p + depth]) for p in places[tree.order].tolist()]
+    assert grams == sorted(tuple(codes[p : p + depth]) for p in places.tolist())
+    common = lambda x, y: next((k for k, (u, v) in enumerate(zip(x, y, strict=True)) if u != v), depth)
+    assert tree.shared.tolist() == [common(x, y) for x, y in zip(grams, grams[1:], strict=False)]
+    least = max(1, depth // 2)
+    # Nodes: prefixes that at least two suffixes have and no longer one has with just as many.
+    have = collections.Counter(g[:d] for g in grams for d in range(1, depth + 1))
+    want = {(g, have[g]) for g in have if have[g] > 1 and len(g) >= least and not any(have.get(g + (c,)) == have[g] for c in (0, 1))}
+    assert {(grams[a][:d], b - a) for d, a, b in tree.internal(least)} == want
+    tops = {tuple(x) for x in np.stack(tree.tops(depth), axis=1).tolist()}
+    assert tops == {(a, b) for d, a, b in tree.internal(depth)}
 
 
 def plain_links(rows, k, percent):
