@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -72,7 +73,10 @@ def test_edit_distance():
         assert edits == nearest(a, b) == nearest(a, b[x:y])
 
 
-def test_decontamination(spark):
+@pytest.mark.parametrize("longest,pairs", [(256, 1 << 21), (12, 600)])
+def test_decontamination(spark, monkeypatch, longest, pairs):
+    for name, value in (("LONGEST", longest), ("GAP", 2 * longest), ("PAIRS", pairs)):
+        monkeypatch.setattr(decontamination, name, value)
     rng = random.Random(2)
     words = [f"w{i}" for i in range(300)] + ["éa", "ÑB"]
     items = [(i, " ".join(rng.choice(words) for _ in range(rng.choice([1, 4, 8, 15, 30, 60])))) for i in range(25)] + [(50, ""), (51, None), (None, "only here once more")]
@@ -100,6 +104,40 @@ def test_decontamination(spark):
     assert decontamination.contaminated(docs, bench.limit(0)).count() == 0 and decontamination.clean(frame(spark, []), bench).count() == 0
 
 
+def edited(rng, words, n):
+    out = list(words)
+    for _ in range(n):
+        j = rng.randrange(len(out))
+        out[j : j + 1] = rng.choice([[], [f"x{rng.getrandbits(40)}"], [out[j], f"x{rng.getrandbits(40)}"]])
+    return out
+
+
+def found_in(index, words):
+    hashed, counts = decontamination.normal_words([" ".join(words).encode()])
+    return {i for _, i, *_ in index.matches(hashed, np.array([0, int(counts[0])]))}
+
+
+@pytest.mark.parametrize("n", [15, 60, 600])
+def test_recall_on_fresh_edits(n):
+    rng = random.Random(n)
+    items = [(i, " ".join(f"v{rng.randrange(3000)}" for _ in range(n))) for i in range(40)]
+    index = decontamination.Index(items)
+    around = lambda: [f"v{rng.randrange(3000)}" for _ in range(40)]
+    hit = [i in found_in(index, around() + edited(rng, t.split(), n // 5) + around()) for i, t in items for _ in range(5)]
+    assert np.mean(hit) >= 0.98
+
+
+def test_items_with_one_stem():
+    """Work on a stem that all items share doesn't grow with items times places."""
+    rng = random.Random(5)
+    stem = [f"s{i}" for i in range(20)]
+    items = [(i, " ".join(stem + [f"v{rng.randrange(5000)}" for _ in range(rng.randint(10, 50))])) for i in range(2000)]
+    index = decontamination.Index(items)
+    begin = time.process_time()
+    assert found_in(index, stem * (2**20 // 74)) == set() and time.process_time() - begin < 20
+    assert found_in(index, items[7][1].split() + stem * 50 + items[9][1].split()) == {7, 9}
+
+
 def test_warc(spark):
     rng = random.Random(3)
     big = ["é" * 60, "x" * 100, "y" * 99, "", None, "z\r\n\r\n" * 50]
