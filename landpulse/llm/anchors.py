@@ -107,7 +107,7 @@ RUN = ["group", "s1", "s2"]
 
 def _batch(schema: str, columns: list) -> pa.RecordBatch:
     fields = [x.split() for x in schema.split(", ")]
-    types = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+    types = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "boolean": pa.bool_()}
     return pa.RecordBatch.from_arrays([pa.array(c, types[t]) for c, (_, t) in zip(columns, fields, strict=True)], [f for f, _ in fields])
 
 
@@ -148,8 +148,10 @@ PARTS = "group long, s1 long, s2 long, times long, first long, at int, n int, bo
 
 
 def _bodies(docs: DataFrame, different: DataFrame, kind: Kind) -> DataFrame:
-    """different (RUN, times, at, n, rep: a place) with the bytes of each run: PARTS; first is the place's key."""
-    runs = F.collect_list(F.struct(*RUN, "times", "at", "n", F.col("rep.start").alias("start")))
+    """different (RUN, times, at, n, rep: a place; large, if it has that) with the bytes of each run: PARTS (and large); first is the place's key."""
+    flags = [c for c in different.columns if c == "large"]
+    schema = ", ".join([PARTS, *(f"{c} boolean" for c in flags)])
+    runs = F.collect_list(F.struct(*RUN, "times", "at", "n", F.col("rep.start").alias("start"), *flags))
     by_doc = different.groupBy(F.col("rep.key").alias("key"), F.col("rep.th").alias("th")).agg(runs.alias("runs"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,12 +161,12 @@ def _bodies(docs: DataFrame, different: DataFrame, kind: Kind) -> DataFrame:
                 raw, rows = kind.normal(texts[i]), lists[i].values
                 starts = kind.starts(raw)
                 cuts = zip(rows.field("start").to_pylist(), rows.field("n").to_pylist(), strict=True)
-                yield _batch(PARTS, [*(rows.field(c) for c in (*RUN, "times")), np.full(len(rows), key), rows.field("at"), rows.field("n"), [kind.cut(raw, starts, x, y + kind.width - 1) for x, y in cuts]])
+                yield _batch(schema, [*(rows.field(c) for c in (*RUN, "times")), np.full(len(rows), key), rows.field("at"), rows.field("n"), [kind.cut(raw, starts, x, y + kind.width - 1) for x, y in cuts], *(rows.field(c) for c in flags)])
             tidy()
 
     # One row for a text, however often it is given.
     one = docs.select("key", "th", "text").join(by_doc, ["key", "th"]).dropDuplicates(["key", "th"])
-    return one.select("key", "text", "runs").mapInArrow(run, PARTS)
+    return one.select("key", "text", "runs").mapInArrow(run, schema)
 
 
 def _extended(rows: DataFrame, kind: Kind, halves: list[tuple[int, int]], name: str) -> DataFrame:
@@ -258,11 +260,15 @@ def marked_runs(docs: DataFrame, kind: Kind, solve: Callable[[pa.Table], pa.Reco
     found = candidates(docs, kind, name, across)
     different = written(found.groupBy(*RUN, "at", "n").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct("key", "th", "start")).alias("rep")), f"{name}-different")
     large = _sizes(different, kind, name)
-    solved = _lots(_bodies(docs, _outside(different, large), kind), kind, solve)
-    if large is not None:
-        rows = written(_bodies(docs, _inside(different, large), kind), f"{name}-parts")
-        solved = solved.unionByName(_split(rows, kind, solve, [(0, kind.reach)], name))
+    if large is None:
+        solved = _lots(_bodies(docs, different, kind), kind, solve)
+    else:  # texts move once, for both kinds of groups
+        flagged = _outside(different, large).withColumn("large", F.lit(False)).unionByName(_inside(different, large).withColumn("large", F.lit(True)))
+        bodies = written(_bodies(docs, flagged, kind), f"{name}-bodies")
+        solved = _lots(bodies.where("not large").drop("large"), kind, solve).unionByName(_split(bodies.where("large").drop("large"), kind, solve, [(0, kind.reach)], name))
     solved = written(solved, f"{name}-marks")
+    if large is not None:
+        discard(bodies)
     of_run = solved.groupBy(*RUN).agg(F.collect_set(F.struct("at", "n", "first")).alias("marks"))
     hot = different.where(F.col("times") * HOT > found.count()).select(*RUN)
     parts = join_split(found, of_run, RUN, hot).select("key", "th", "start", "marks")
@@ -281,6 +287,7 @@ def _split(rows: DataFrame, kind: Kind, solve: Callable[[pa.Table], pa.RecordBat
         solved = solved.unionByName(_split(_inside(merged, large).select(columns), kind, solve, halves, name))
     # A part's marks, as marks of the runs that it is of.
     solved = written(solved, f"{name}-marks")
+    discard(merged)
     hot = parts.groupBy(*RUN).count().where(F.col("count") * HOT > parts.count()).select(*RUN)
     own = join_split(parts.select(*RUN, "of_group", "of_s1", "of_s2", "shift"), solved, RUN, hot)
     return own.select(*(F.col(f"of_{c}").alias(c) for c in RUN), (F.col("at") + F.col("shift")).cast("int").alias("at"), "n", "first")

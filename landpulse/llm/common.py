@@ -40,7 +40,7 @@ def work_path(spark: SparkSession, name: str) -> str:
 def written(df: DataFrame, name: str) -> DataFrame:
     """df as a table in the shared folder: lost executors can't take it along, and its lineage ends there."""
     path = work_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.written_to = path
     return out
@@ -66,6 +66,12 @@ def join_split(left: DataFrame, right: DataFrame, on: list[str], hot: DataFrame)
     return cold.unionByName(left.join(F.broadcast(right.join(hot, on, "left_semi")), on))
 
 
+def hot_keys(counts: DataFrame, key: str, count: str) -> DataFrame:
+    """The keys whose count is more than 1/HOT of all counts together: HOT at most."""
+    total = counts.agg(F.sum(count)).first()[0] or 0
+    return counts.where(F.col(count) * HOT > total).select(key)
+
+
 def keyed(docs: DataFrame, carry: bool = False) -> DataFrame:
     """(key, th, doc_id, text): one row for each row of docs, whatever other columns it has; with carry, those as a struct, rest.
 
