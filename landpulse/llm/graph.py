@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import discard, hot_keys, join_split, written
 
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
@@ -17,12 +17,15 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     and what a lost executor held is read again. Empty edges give no rows.
     """
     both = written(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), f"{name}-edges")
+    hubs = written(hot_keys(both.groupBy("b").count(), "b", "count"), f"{name}-hubs")
     labels = written(both.groupBy(F.col("a").alias("v")).agg(F.least(F.min("b"), F.first("a")).alias("label")), f"{name}-labels")
     while True:
-        near = both.join(labels.select(F.col("v").alias("b"), F.col("label").alias("near")), "b").groupBy(F.col("a").alias("v")).agg(F.min("near").alias("near"))
-        low = labels.join(near, "v").select("v", F.col("label").alias("was"), F.least("label", "near").alias("label"))
+        near = join_split(both, labels.select(F.col("v").alias("b"), F.col("label").alias("near")), ["b"], hubs).groupBy(F.col("a").alias("v")).agg(F.min("near").alias("near"))
+        low = written(labels.join(near, "v").select("v", F.col("label").alias("was"), F.least("label", "near").alias("label")), f"{name}-labels")
+        # A label is a vertex, so each has a label of its own.
         far = labels.select(F.col("v").alias("label"), F.col("label").alias("far"))
-        new = written(low.join(far, "label", "left").select("v", "was", F.least("label", F.coalesce("far", "label")).alias("label")), f"{name}-labels")
+        new = written(join_split(low, far, ["label"], hot_keys(low.groupBy("label").count(), "label", "count")).select("v", "was", F.least("label", "far").alias("label")), f"{name}-labels")
+        discard(low)
         if new.where("label <> was").isEmpty():
             return new.select("v", "label")
         labels = new.select("v", "label")

@@ -11,15 +11,21 @@ tau = |s| - ceil(t |s|) of its tokens. If its prefix has m rare tokens and n_b
 frequent ones in range b, then m + sum(max(0, n_b - 1)) > tau means that a
 rare token or two of one range are shared; by the global order they lie in the
 other set's prefix too. Ranges are cut by size class, and a set that may be
-similar to one of the next class is indexed for both.
+similar to one of the next class is indexed for both: with a threshold over
+one half, no similar set is further off.
 
 Candidates pass exact bounds (sizes, then counts or shortened tokens) and are
 verified on whole sets. Connected components of the links are the result.
+
+A signature that more than 1/HOT of all are (and more than BLOCK) is split:
+each part has a pivot of its own, which is compared with the first. Where
+pairs need what is known of both sets, that of the set that stands in most of
+them, the hub, moves once to each of SPREAD parts of its pairs.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import sliced, texts_of
-from .common import NO_ID, keyed, table, tidy, written
+from .common import HOT, NO_ID, hot_keys, join_split, keyed, table, tidy, written
 from .graph import components
 from .words import STEPS, mixed_up, split_words
 
@@ -45,6 +51,8 @@ GROUP = 16
 NEIGHBOURS = (1, 2)
 #: Members of such a group that one task compares with one another, or with as many others, at a time.
 BLOCK = 4096
+#: Parts into which the pairs of one hub are dealt.
+SPREAD = 256
 
 
 def shingle_sets(texts: list[bytes], k: int) -> list[np.ndarray]:
@@ -89,12 +97,9 @@ def signatures(tokens: np.ndarray, frequent: np.ndarray, percent: int) -> np.nda
     often = tokens[_among(tokens, frequent)]
     out = [rare]
     for scale in scales(n, percent):
-        # Two to eight tokens of the set a range, so that ranges always hold more tokens than there are ranges, by far.
-        ranges = (often >> np.uint64(32)) * np.uint64(max(1, (1 << scale) >> (2 if scale < 6 else 1))) >> np.uint64(32)
+        ranges = (often >> np.uint64(32)) * np.uint64(_ranges(scale, percent)) >> np.uint64(32)
         # A token after the first of its range adds one to the sum.
         gained = np.cumsum(np.concatenate(([False], ranges[1:] == ranges[:-1])))
-        if len(tokens) > 1 and (not len(often) or gained[-1] < need - len(rare)):
-            raise OverflowError("hashes of tokens are too uneven for combinations")
         upto = np.searchsorted(gained, need - len(rare)) + 1
         for part in np.split(often[:upto], np.flatnonzero(np.diff(ranges[:upto].astype(np.int64))) + 1):
             for d in range(1, len(part)):
@@ -102,6 +107,12 @@ def signatures(tokens: np.ndarray, frequent: np.ndarray, percent: int) -> np.nda
     return np.unique(np.concatenate(out))
 
 
+def _ranges(scale: int, percent: int) -> int:
+    """How many ranges of hashes a size class has: two to eight tokens of a set each, and fewer where the smallest set of the class would run out of pairs."""
+    least = -(-percent * (1 << scale) // 100)
+    return max(1, min((1 << scale) >> (2 if scale < 6 else 1), -(-percent * least // 100) - 1))
+
+
 def _among(tokens: np.ndarray, listed: np.ndarray) -> np.ndarray:
     if not len(listed):
         return np.zeros(len(tokens), bool)
@@ -144,13 +155,14 @@ def linked(shared: int, n: int, m: int, percent: int) -> bool:
     return 100 * shared >= percent * (n + m - shared)
 
 
-def _each(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[tuple[pa.RecordBatch, range, list[np.ndarray], list[int]]]:
-    """Slices of batches (text last), their sets and the sets' ids (0 without words)."""
+def _each(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray], list[tuple[int, int]]]]:
+    """Slices of batches (text last), their sets and 63 and 64 more bits of a hash of the sets (0 without words)."""
     for batch in batches:
         texts = texts_of(batch.columns[-1])
         for part in sliced(texts, 1 << 20):
             sets = shingle_sets([texts[i] for i in part], k)
-            yield batch.slice(part.start, len(part)), part, sets, [xxhash.xxh3_64_intdigest(s.tobytes()) >> 1 if len(s) else 0 for s in sets]
+            both = [xxhash.xxh3_128_intdigest(s.tobytes()) if len(s) else 0 for s in sets]
+            yield batch.slice(part.start, len(part)), sets, [(x >> 65, (x & (1 << 64) - 1) - (1 << 63)) for x in both]
         tidy()
 
 
@@ -167,7 +179,7 @@ def _counted(docs: DataFrame, k: int, percent: int) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own: dict[int, np.ndarray] = {}
+        own: dict[tuple[int, int], np.ndarray] = {}
 
         def close() -> pa.RecordBatch:
             cuts = [slack(len(s), percent) + 2 for s in own.values()]
@@ -179,7 +191,7 @@ def _counted(docs: DataFrame, k: int, percent: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(tokens.view(np.int64)), pa.array(counts)], ["token", "n"])
 
         size = 0
-        for _, _, sets, ids in _each(batches, k):
+        for _, sets, ids in _each(batches, k):
             own |= {i: s for i, s in zip(ids, sets, strict=True) if len(s)}
             size += sum(map(len, sets))
             if size >= LOT:
@@ -208,82 +220,103 @@ def frequent_tokens(docs: DataFrame, k: int, percent: int, name: str) -> np.ndar
 
 
 def _sets(docs: DataFrame, k: int, percent: int, name: str) -> DataFrame:
-    """A written row for each row of docs: key, th, n, sid (the set's id), sigs, sketch, tags; the last three are empty for copies within a slice."""
+    """A written row for each row of docs: key, th, n, sid (the set's id), sigs, sketch, tags; the last three are empty for copies within a slice.
+
+    sid is 63 bits of a 127-bit hash; where sets that differ in the rest share them, all but those with the least rest get another id.
+    """
     frequent = docs.sparkSession.sparkContext.broadcast(frequent_tokens(docs, k, percent, name))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, _, sets, ids in _each(batches, k):
-            seen: set[int] = {0}
+        for batch, sets, ids in _each(batches, k):
+            seen: set[tuple[int, int]] = set()
             sigs, sketches, tagged = [], [], []
             for s, i in zip(sets, ids, strict=True):
-                new = i not in seen
+                new = len(s) > 0 and i not in seen
                 seen.add(i)
                 sigs.append(signatures(s, frequent.value, percent).view(np.int64) if new else np.zeros(0, np.int64))
                 sketches.append(sketch(s) if new else None)
                 tagged.append(tags(s) if new else None)
             ends = np.cumsum([0, *map(len, sigs)], dtype=np.int32)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array([len(s) for s in sets], pa.int64()), pa.array(ids, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*sigs, np.zeros(0, np.int64)]))), pa.array(sketches, pa.binary()), pa.array(tagged, pa.binary())], ["key", "th", "n", "sid", "sigs", "sketch", "tags"])
+            sid, rest = (pa.array([i[x] for i in ids], pa.int64()) for x in (0, 1))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array([len(s) for s in sets], pa.int64()), sid, rest, pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*sigs, np.zeros(0, np.int64)]))), pa.array(sketches, pa.binary()), pa.array(tagged, pa.binary())], ["key", "th", "n", "sid", "rest", "sigs", "sketch", "tags"])
+
+    sets = written(docs.select("key", "th", "text").mapInArrow(run, "key long, th long, n long, sid long, rest long, sigs array<long>, sketch binary, tags binary"), f"{name}-sets")
+    shared = sets.where("n > 0").groupBy("sid").agg(F.min("rest").alias("lo"), F.max("rest").alias("hi")).where("lo <> hi").select("sid", "lo")
+    return _told_apart(sets, shared, name).drop("rest")
 
-    return written(docs.select("key", "th", "text").mapInArrow(run, "key long, th long, n long, sid long, sigs array<long>, sketch binary, tags binary"), f"{name}-sets")
+
+def _told_apart(sets: DataFrame, shared: DataFrame, name: str) -> DataFrame:
+    if shared.isEmpty():
+        return sets
+    other = F.when(F.col("lo") != F.col("rest"), F.xxhash64("sid", "rest").bitwiseAND(F.lit(2**63 - 1))).otherwise(F.col("sid"))
+    return written(sets.join(shared, "sid", "left").withColumn("sid", other).drop("lo").select(sets.columns), f"{name}-sets")
+
+
+def _split_signatures(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(sig, part, n, sid) for all signatures, part being -1 but for those that are split; and pairs (a, b, hub) of the parts' pivots with the first of them."""
+    rows = sets.where("size(sigs) > 0").select(F.explode("sigs").alias("sig"), "n", "sid")
+    total = sets.agg(F.sum(F.size("sigs"))).first()[0] or 0
+    most = max(total // HOT, BLOCK)
+    hot = rows.groupBy("sig").count().where(F.col("count") > most)  # HOT at most
+    parts = F.ceil(F.col("count") / most).cast("int")
+    dealt = rows.join(F.broadcast(hot.select("sig", parts.alias("parts"))), "sig", "left").select("sig", F.coalesce(F.expr("pmod(xxhash64(sid), parts)").cast("long"), F.lit(-1).cast("long")).alias("part"), "n", "sid")
+    pivots = dealt.where("part >= 0").groupBy("sig", "part").agg(F.min(F.struct("n", "sid")).alias("pivot"))
+    first = pivots.groupBy("sig").agg(F.min("pivot")["sid"].alias("hub"))
+    pairs = pivots.join(first, "sig").select(F.col("pivot.sid").alias("sid"), "hub").where("sid <> hub")
+    return dealt, pairs.select(F.least("sid", "hub").alias("a"), F.greatest("sid", "hub").alias("b"), "hub")
 
 
 def _compare(rows: DataFrame, percent: int) -> DataFrame:
-    """(a, b, sig, n): candidates as a < b with sig null; of groups beyond GROUP, pairs with a pivot and with neighbours, and each member as (sid, null, sig, n)."""
+    """(a, b, sig, n): candidates as a < b with the hub, a pivot, as sig, else null, and n null; of groups beyond GROUP, pairs with a pivot and with neighbours, and each member as (sid, null, sig, n)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros((0, 3), np.int64)
-        big: tuple[int, int, int] | None = None  # signature and pivot of a large group that goes on
+        held = np.zeros((0, 4), np.int64)
+        big: tuple[int, int, int, int] | None = None  # signature, part and pivot of a large group that goes on
 
         def solve(x: np.ndarray, ended: bool) -> tuple[np.ndarray, pa.RecordBatch | None]:
             nonlocal big
             new = np.concatenate(([True], (x[1:] != x[:-1]).any(axis=1))) if len(x) else np.zeros(0, bool)
             x = x[new]
-            begin = np.flatnonzero(np.concatenate(([True], x[1:, 0] != x[:-1, 0]))) if len(x) else np.zeros(0, np.int64)
+            begin = np.flatnonzero(np.concatenate(([True], (x[1:, :2] != x[:-1, :2]).any(axis=1)))) if len(x) else np.zeros(0, np.int64)
             size = np.diff(np.concatenate((begin, [len(x)])))
             keep = x[:0]
-            large = size > GROUP
+            large = (size > GROUP) | (x[begin, 1] >= 0)
             if len(x):
-                if big and x[0, 0] == big[0]:
+                if big and tuple(x[0, :2].tolist()) == big[:2]:
                     large[0] = True
                 if not ended and not large[-1]:
                     keep, x, begin, size, large = x[begin[-1] :], x[: begin[-1]], begin[:-1], size[:-1], large[:-1]
-            pairs, members = [], []
+            pairs, hubs, members = [], [], []
             whole = np.repeat(large, size)
             small = x[~whole]
             for d in range(1, GROUP):
                 if len(small) <= d:
                     break
-                at = np.flatnonzero(small[:-d, 0] == small[d:, 0])
+                at = np.flatnonzero((small[:-d, :2] == small[d:, :2]).all(axis=1))
                 if not len(at):
                     break
-                ok = at[100 * small[at, 1] >= percent * small[at + d, 1]]
-                pairs.append(np.stack((small[ok, 2], small[ok + d, 2]), axis=1))
+                ok = at[100 * small[at, 2] >= percent * small[at + d, 2]]
+                pairs.append(np.stack((small[ok, 3], small[ok + d, 3]), axis=1))
             for g in np.flatnonzero(large).tolist():
                 own = x[begin[g] : begin[g] + size[g]]
-                if not big or big[0] != own[0, 0]:
+                if not big or big[:2] != tuple(own[0, :2].tolist()):
                     big = tuple(own[0].tolist())
                 members.append(own)
-                pivot = np.full(len(own), big[2])
-                ok = (100 * big[1] >= percent * own[:, 1]) & (pivot != own[:, 2])
-                pairs.append(np.stack((pivot[ok], own[ok, 2]), axis=1))
+                ok = (100 * big[2] >= percent * own[:, 2]) & (own[:, 3] != big[3])
+                hubs.append(np.stack((np.full(int(ok.sum()), big[3]), own[ok, 3]), axis=1))
                 for d in NEIGHBOURS:  # those next in size, who are the likeliest to be linked
-                    ok = 100 * own[:-d, 1] >= percent * own[d:, 1]
-                    pairs.append(np.stack((own[:-d, 2][ok], own[d:, 2][ok]), axis=1))
-            pair = np.concatenate([np.zeros((0, 2), np.int64), *pairs])
+                    ok = 100 * own[:-d, 2] >= percent * own[d:, 2]
+                    pairs.append(np.stack((own[:-d, 3][ok], own[d:, 3][ok]), axis=1))
+            none = np.zeros((0, 2), np.int64)
+            plain = np.unique(np.sort(np.concatenate([none, *pairs]), axis=1), axis=0)
+            hub = np.unique(np.concatenate([none, *hubs]), axis=0)
             member = np.concatenate([x[:0], *members])
-            if not len(pair) and not len(member):
+            if not len(plain) + len(hub) + len(member):
                 return keep, None
-            pair = np.unique(np.sort(pair, axis=1), axis=0)
-            none = np.ones(len(pair), bool)
-            return keep, pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.concatenate((pair[:, 0], member[:, 2]))),
-                    pa.array(np.concatenate((pair[:, 1], member[:, 2])), mask=np.concatenate((~none, np.ones(len(member), bool)))),
-                    pa.array(np.concatenate((pair[:, 0], member[:, 0])), mask=np.concatenate((none, np.zeros(len(member), bool)))),
-                    pa.array(np.concatenate((pair[:, 0], member[:, 1])), mask=np.concatenate((none, np.zeros(len(member), bool)))),
-                ],
-                ["a", "b", "sig", "n"],
-            )
+            pair = np.concatenate((plain, np.sort(hub, axis=1)))
+            lacks = [np.repeat(v, (len(plain), len(hub), len(member))) for v in ([False, False, True], [True, False, False], [True, True, False])]
+            values = [np.concatenate((pair[:, 0], member[:, 3])), np.concatenate((pair[:, 1], member[:, 3])), np.concatenate((plain[:, 0], hub[:, 0], member[:, 0])), np.concatenate((pair[:, 0], member[:, 2]))]
+            return keep, pa.RecordBatch.from_arrays([pa.array(values[0]), *(pa.array(v, mask=m) for v, m in zip(values[1:], lacks, strict=True))], ["a", "b", "sig", "n"])
 
         for batch in batches:
             x = np.concatenate((held, np.stack([c.to_numpy() for c in batch.columns], axis=1)))
@@ -294,22 +327,44 @@ def _compare(rows: DataFrame, percent: int) -> DataFrame:
         if out is not None:
             yield out
 
-    return rows.repartition("sig").sortWithinPartitions("sig", "n", "sid").mapInArrow(run, "a long, b long, sig long, n long")
+    return rows.repartition("sig", "part").sortWithinPartitions("sig", "part", "n", "sid").mapInArrow(run, "a long, b long, sig long, n long")
 
 
-def _likely(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose sketches don't rule a link out."""
-    own = sets.where("sketch is not null").groupBy("sid").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
-    side = lambda c: own.select(F.col("sid").alias(c), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"sketch{c}"))
+def _where(pairs: DataFrame, known: DataFrame, linkable: Callable[[np.ndarray, np.ndarray], bool], kind: str) -> DataFrame:
+    """The pairs (a, b; hub, one of them or null) for which linkable holds; known: sid, data (binary, read as arrays of that kind)."""
+    hub = F.coalesce("hub", "a")
+    dealt = pairs.select(hub.alias("hub"), F.when(hub == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("other")).withColumn("part", F.expr(f"pmod(xxhash64(other), {SPREAD})"))
+    hubs = dealt.select("hub", "part").distinct().join(known, F.col("hub") == known["sid"]).select("hub", "part", F.lit(None).cast("long").alias("other"), "data")
+    others = dealt.join(known, F.col("other") == known["sid"]).select("hub", "part", "other", "data")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, of = None, None
         for batch in batches:
-            na, nb = (batch.column(i).to_pylist() for i in (2, 3))
-            ok = [linked(min(sketch_bound(x, y), n, m), n, m, percent) for x, y, n, m in zip(_views(batch.column(4), "u1"), _views(batch.column(5), "u1"), na, nb, strict=True)]
-            yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
+            hub, other = batch.column(0).to_pylist(), batch.column(2).to_pylist()
+            ok = []
+            for i, (h, o, data) in enumerate(zip(hub, other, batch.column(3), strict=True)):
+                x = np.frombuffer(data.as_buffer(), kind)
+                if o is None:  # the hub's own data, before all others
+                    own, of = x.copy(), h
+                elif h == of and linkable(own, x):
+                    ok.append(i)
+            found = np.array([(hub[i], other[i]) for i in ok], np.int64).reshape(-1, 2)
+            found.sort(axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1]), pa.array([hub[i] for i in ok], pa.int64())], ["a", "b", "hub"])
             tidy()
 
-    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "sketcha", "sketchb").mapInArrow(run, "a long, b long")
+    return hubs.unionByName(others).repartition("hub", "part").sortWithinPartitions("hub", "part", F.col("other").asc_nulls_first()).mapInArrow(run, "a long, b long, hub long")
+
+
+def _likely(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b, hub) whose sketches don't rule a link out."""
+    known = sets.where("sketch is not null").groupBy("sid").agg(F.first(F.concat(F.expr("cast(reverse(unhex(lpad(hex(n), 8, '0'))) as binary)"), "sketch")).alias("data"))
+
+    def linkable(x: np.ndarray, y: np.ndarray) -> bool:
+        n, m = (int(z[:4].view("<u4")[0]) for z in (x, y))
+        return linked(min(sketch_bound(x[4:], y[4:]), n, m), n, m, percent)
+
+    return _where(pairs, known, linkable, "u1")
 
 
 def _counts(sketches: np.ndarray, bits: int) -> np.ndarray:
@@ -396,37 +451,35 @@ def _cross_parts(of: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that are linked, by their whole sets."""
+    """The pairs (a, b; hub, one of them or null) that are linked, by their whole sets."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
     reps = sets.where("n > 0").groupBy("sid").agg(F.min(F.struct("key", "th")).alias("rep")).join(wanted, "sid").select("sid", "rep.key", "rep.th")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, _, found, _ in _each(batches, k):
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([np.ascontiguousarray(s.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 2:]).tobytes() for s in found], pa.binary())], ["sid", "tokens"])
+        for batch, found, _ in _each(batches, k):
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.tobytes() for s in found], pa.binary())], ["sid", "data"])
 
-    # 48 of a shingle's 64 bits: that two of 500 shingles each agree by chance has a probability of 1e-9 a pair.
-    tokens = docs.select("key", "th", "text").join(reps, ["key", "th"]).select("sid", "text").mapInArrow(read, "sid long, tokens binary")
-    side = lambda c: tokens.select(F.col("sid").alias(c), F.col("tokens").alias(f"tokens{c}"))
+    texts = docs.select("key", "th", "text").join(reps, ["key", "th"]).dropDuplicates(["sid"])
+    known = texts.select("sid", "text").mapInArrow(read, "sid long, data binary")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ok = []
-            for p, q in zip(_views(batch.column(2), "S6"), _views(batch.column(3), "S6"), strict=True):
-                ok.append(linked(len(p) + len(q) - len(np.unique(np.concatenate((p, q)))), len(p), len(q), percent))
-            yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
-            tidy()
+    def linkable(x: np.ndarray, y: np.ndarray) -> bool:
+        both = np.concatenate((x, y))
+        both.sort(kind="stable")
+        return linked(int((both[1:] == both[:-1]).sum()), len(x), len(y), percent)
 
-    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "tokensa", "tokensb").mapInArrow(run, "a long, b long")
+    return _where(pairs, known, linkable, "<u8").select("a", "b")
 
 
 def _first_links(base: DataFrame, k: int, percent: int, name: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Sets, what _compare() found, its pairs (a, b) and those of them that are linked."""
+    if not 50 < percent <= 100:
+        raise ValueError("percent must be over 50 and at most 100")
     sets = _sets(base, k, percent, name)
-    rows = sets.where("size(sigs) > 0").select(F.explode("sigs").alias("sig"), "n", "sid")
+    rows, pivots = _split_signatures(sets)
     found = written(_compare(rows, percent), f"{name}-candidates")
-    pairs = found.where("sig is null").select("a", "b").distinct()
+    pairs = found.where("b is not null").select("a", "b", F.col("sig").alias("hub")).unionByName(pivots).groupBy("a", "b").agg(F.min("hub").alias("hub"))
     links = written(_verified(base, sets, written(_likely(pairs, sets, percent), f"{name}-likely"), k, percent), f"{name}-links")
-    return sets, found, pairs, links
+    return sets, found, pairs.select("a", "b"), links
 
 
 def similarity_links(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, name: str = "jaccard") -> DataFrame:
@@ -438,9 +491,9 @@ def similarity_links(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, na
     """
     base = keyed(docs)
     sets, found, pairs, links = _first_links(base, k, percent, name)
-    members = found.where("sig is not null").select(F.col("a").alias("sid"), "sig", "n", F.col("a").alias("part")).distinct()
+    members = found.where("b is null").select(F.col("a").alias("sid"), "sig", "n", F.col("a").alias("part")).distinct()
     if not members.isEmpty():
-        rest = _cross_parts(members, sets, percent).distinct().join(pairs, ["a", "b"], "left_anti")
+        rest = _cross_parts(members, sets, percent).distinct().join(pairs, ["a", "b"], "left_anti").withColumn("hub", F.lit(None).cast("long"))
         links = links.unionByName(_verified(base, sets, written(rest, f"{name}-likely"), k, percent))
     reps = sets.where("n > 0").groupBy("sid").agg(F.min(F.struct("key", "th")).alias("rep"))
     side = lambda c: reps.select(F.col("sid").alias(c), F.col("rep.key").alias(f"key_{c}"), F.col("rep.th").alias(f"th_{c}"))
@@ -456,7 +509,8 @@ def similarity_join(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, nam
     size 0 and stays alone. Null doc_ids have the key NO_ID, which is smaller
     than all; rows with one doc_id are linked only if their texts are, so
     classes may share a component; class is a class's own, 0 without words. Other
-    columns of docs aren't looked at. Shingles are told apart by 64-bit hashes.
+    columns of docs aren't looked at. percent must be over 50. Shingles are told
+    apart by 64-bit hashes, sets of them by 127 bits.
 
     A signature's group of at most GROUP sets is compared pair by pair, within
     the sizes that can link. In a larger one, members are compared with a
@@ -468,19 +522,22 @@ def similarity_join(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, nam
     base = keyed(docs)
     sets, found, pairs, links = _first_links(base, k, percent, name)
     labels = components(links, name)
-    members = found.where("sig is not null").select(F.col("a").alias("sid"), "sig", "n").distinct()
+    members = found.where("b is null").select(F.col("a").alias("sid"), "sig", "n").distinct()
     if not members.isEmpty():
         of = members.join(labels, members["sid"] == labels["v"], "left").select("sig", "n", "sid", F.coalesce("label", "sid").alias("part"))
-        rest = _cross_parts(of, sets, percent).distinct().join(pairs, ["a", "b"], "left_anti")
+        rest = _cross_parts(of, sets, percent).distinct().join(pairs, ["a", "b"], "left_anti").withColumn("hub", F.lit(None).cast("long"))
         more = _verified(base, sets, written(rest, f"{name}-likely"), k, percent)
         links = written(links.unionByName(more), f"{name}-links")
         labels = components(links, name)
-    reps = sets.where("n > 0").groupBy("sid").agg(F.min("key").alias("rep"))
+    worded = sets.where("n > 0").select("key", "th", "n", "sid")
+    reps = written(worded.groupBy("sid").agg(F.min("key").alias("rep"), F.count(F.lit(1)).alias("copies")), f"{name}-classes")
     named = labels.join(reps, labels["v"] == reps["sid"]).select("sid", "label", "rep")
-    least = named.groupBy("label").agg(F.min("rep").alias("least"))
-    joined = named.join(least, "label").select("sid", "label", "least")
+    least = named.groupBy("label").agg(F.min("rep").alias("least"), F.count(F.lit(1)).alias("size"))
+    joined = join_split(named, least.select("label", "least"), ["label"], hot_keys(least, "label", "size")).select("sid", "label", "least")
     of_set = reps.join(joined, "sid", "left").select("sid", F.coalesce("least", "rep").alias("component"), F.coalesce("label", "sid").alias("class"))
-    return sets.select("key", "th", "n", "sid").join(of_set, "sid", "left").select("key", "th", "n", F.coalesce("component", "key").alias("component"), F.coalesce("class", "sid").alias("class"))
+    out = join_split(worded, of_set, ["sid"], hot_keys(reps, "sid", "copies"))
+    alone = sets.where("n = 0").select("key", "th", "n", F.col("key").alias("component"), F.col("sid").alias("class"))
+    return out.select("key", "th", "n", "component", "class").unionByName(alone)
 
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -160,7 +160,7 @@ def plain_links(rows, k, percent):
     return collections.Counter((x, len(s), least[find(i)] if s else x) for i, (x, s) in enumerate(zip(key, sets, strict=True)))
 
 
-@pytest.mark.parametrize("often,group,block,k,percent", [(8, 16, 4096, 4, 85), (0, 2, 7, 4, 85), (2, 3, 4096, 5, 80)])
+@pytest.mark.parametrize("often,group,block,k,percent", [(8, 16, 4096, 4, 85), (0, 2, 7, 4, 85), (2, 3, 4096, 5, 80), (0, 16, 20, 1, 55)])
 def test_similarity_join(spark, monkeypatch, often, group, block, k, percent):
     for name, value in (("FREQUENT_FROM", often), ("GROUP", group), ("BLOCK", block)):
         monkeypatch.setattr(similarity_join, name, value)
@@ -189,7 +189,30 @@ def test_similarity_links(spark, monkeypatch, group, block):
     assert similarity_join.similarity_links(frame(spark, [])).count() == 0
 
 
+def test_sets_that_share_an_id(spark):
+    sets = spark.createDataFrame([(1, 5, 1), (2, 5, 2), (3, 5, 2), (4, 6, 9)], "key long, sid long, rest long")
+    got = {r.key: r.sid for r in similarity_join._told_apart(sets, spark.createDataFrame([(5, 1)], "sid long, lo long"), "ids").collect()}
+    assert got[1] == 5 and got[4] == 6 and got[2] == got[3] not in (5, 6) and got[2] > 0
+
+
+@pytest.mark.parametrize("percent", [51, 60, 75, 80, 85, 99, 100])
+def test_signatures_reach_every_similar_set(percent):
+    """Frequent tokens only, down to sets of one and two, with hashes as uneven as can be."""
+    rng = np.random.default_rng(percent)
+    for size in (1, 2, 3, 4, 5, 7, 12, 30, 70, 200):
+        for spread in (1, 20, 63):
+            a = np.unique(rng.integers(0, 1 << spread, size, np.uint64) << np.uint64(63 - spread) | rng.integers(0, 1 << 20, size, np.uint64))
+            for cut in range(4):
+                b = np.unique(np.concatenate((a[: len(a) - cut], rng.integers(0, 1 << 63, cut * 2, np.uint64)))) if cut < len(a) else a
+                often = np.unique(np.concatenate((a, b)))
+                shared = len(np.intersect1d(a, b))
+                if similarity_join.linked(shared, len(a), len(b), percent) and not np.array_equal(a, b):
+                    assert len(np.intersect1d(*(similarity_join.signatures(x, often, percent) for x in (a, b)))), (size, spread, cut)
+
+
 def test_similarity_join_of_nothing(spark):
+    with pytest.raises(ValueError):
+        similarity_join.similarity_join(frame(spark, []), percent=50)
     assert similarity_join.similarity_join(frame(spark, [])).count() == 0
 
 
