@@ -37,7 +37,10 @@ def test_toxicity_cases(spark):
     scored = {r.doc_id: r.score for r in toxicity.score(docs, net, marks).collect()}
     assert all((scored[i] >= 0.5) == (i % 4 == 0) for i in range(200))
     odd = toxicity.score(frame(spark, with_odd_rows(corpus(1))).withColumn("score", F.lit(5)), net, marks, ["doc_id", "score"])
-    assert odd.columns == ["doc_id", "score", "score", "lang_threshold", "rejected"] and odd.count() == 123
+    assert odd.columns == ["doc_id", "score_given", "score", "lang_threshold", "rejected"] and odd.count() == 123
+    clashing = docs.withColumn("rejected", F.lit("x")).withColumn("lang_threshold", F.lit(1)).withColumn("score", F.lit(2)).drop("lang")
+    kept = toxicity.clean(clashing, net, marks)
+    assert kept.columns == clashing.columns and {r.doc_id for r in kept.collect()} == {i for i in range(200) if scored[i] < marks[None]}
     assert toxicity.score(frame(spark, []), net, marks).count() == 0
     none, marks = toxicity.fit(docs, labels.limit(0))
     assert {round(r.score, 6) for r in toxicity.score(docs, none, marks).collect()} == {0.01} and marks == {None: 0.5}
