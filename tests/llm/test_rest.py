@@ -1,5 +1,6 @@
 """Toxicity, decontamination, WARC and the pipeline."""
 
+import collections
 import random
 import re
 import time
@@ -10,7 +11,7 @@ from corpora import corpus, frame, with_odd_rows
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from landpulse.llm import bpe, decontamination, toxicity, warc
+from landpulse.llm import bpe, common, decontamination, toxicity, warc
 from landpulse.llm.common import work_path
 
 DATA = "/root/testdata/sf0.1"
@@ -190,6 +191,120 @@ def test_pipeline(spark):
     assert corpus_pipeline.run(spark, sf).count() == rows[-1]
 
 
+def plain_score(net, text):
+    """The net's score of a text, word by word."""
+    rows = toxicity.features([text.encode()])[0][: -toxicity.PAD].tolist()
+    words = [sum(net.embed[b] for b in row) for row in rows] + [np.zeros(toxicity.DIM)] * (2 * toxicity.PAD)
+    total, tap = net.intercept, 0
+    for i, width in enumerate(toxicity.WIDTHS):
+        for f in range(toxicity.FILTERS):
+            at = i * toxicity.FILTERS + f
+            answers = [sum(words[p + k] @ net.filters[:, (tap + k) * toxicity.FILTERS + f] for k in range(width)) for p in range(len(words) - toxicity.PAD)]
+            total += max(max(answers) + net.bias[at], 0) * net.out[at]
+        tap += width
+    return 1 / (1 + np.exp(-total))
+
+
+def plain_line_dedup(rows):
+    """rows: (key, th, text, rest); a place is (key, first line, th)."""
+    least = {}
+    for key, th, text, _ in rows:
+        lines = text.split("\n")
+        for i in range(len(lines) - 1):
+            pair = (lines[i], lines[i + 1])
+            least[pair] = min(least.get(pair, (key, i, th)), (key, i, th))
+    out = []
+    for key, th, text, rest in rows:
+        lines = text.split("\n")
+        gone = set()
+        for i in range(len(lines) - 1):
+            k, first, h = least[lines[i], lines[i + 1]]
+            if (k, first, h) != (key, i, th) and not ((k, h) == (key, th) and i < first + 2):
+                gone |= {i, i + 1}
+        left = "\n".join(x for i, x in enumerate(lines) if i not in gone) if gone else text
+        out.append((key, th, left, rest))
+    return out
+
+
+def plain_jaccard(rows, k=5, percent=80):
+    sets = []
+    for _, _, text, _ in rows:
+        w = text.encode().lower().split()
+        sets.append(frozenset(tuple(w[i : i + k]) for i in range(len(w) - k + 1)) if len(w) >= k else frozenset([tuple(w)] if w else []))
+    group = list(range(len(rows)))
+
+    def find(x):
+        while group[x] != x:
+            x = group[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if a and sets[j] and 100 * len(a & sets[j]) >= percent * len(a | sets[j]):
+                group[find(i)] = find(j)
+    best = {}
+    for i, (key, th, *_) in enumerate(rows):
+        best[find(i)] = min(best.get(find(i), (key, th)), (key, th))
+    out, seen = [], set()
+    for i, row in enumerate(rows):
+        if not sets[i]:
+            out.append(row)
+        elif best[find(i)] == row[:2] and row[:2] not in seen:
+            seen.add(row[:2])
+            out.append(row)
+    return out
+
+
+def test_pipeline_against_brute_force(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    rng = random.Random(11)
+    vile = [(300 + i, " ".join(rng.choice(["vile", f"w{rng.randrange(80)}"]) if j % 9 == 0 else f"w{rng.randrange(80)}" for j in range(40)), "en", "s", 7) for i in range(60)]
+    bench = [(i, " ".join(f"b{rng.randrange(400)}" for _ in range(rng.choice([8, 20, 40])))) for i in range(12)] + [(None, None), (13, "")]
+    leaks = [(400 + i, " ".join(["zz"] * 5 + edited(rng, bench[i][1].split(), len(bench[i][1].split()) // 8) + [f"w{i}"]), None, None, 3) for i in range(12)]
+    several = [(None if i % 2 else 500, f"only {i} here\nand {i} there " + " ".join(f"u{i}v{j}" for j in range(12)), "de", None, 1) for i in range(20)]
+    wordless = [(None, None, "en", "a", 0), (None, None, "de", "b", 0), (None, " ", "de", "b", 0), (501, "", "en", "a", 0), (501, "", "en", "c", 0)]
+    rows = with_odd_rows(corpus(9, 100)) + vile + leaks + several + wordless + [several[0], leaks[0]]
+    docs = frame(spark, rows).withColumn("score", F.lit(1)).withColumn("class", F.lit("c"))
+    for name, df in (
+        ("documents", docs),
+        ("benchmark", spark.createDataFrame(bench, "item_id long, text string")),
+        ("labels", spark.createDataFrame([(r[0], int("vile" in (r[1] or "").split())) for r in rows if r[0] is not None], "doc_id long, toxic int")),
+    ):
+        df.write.parquet(f"{tmp_path}/{name}.parquet")
+    sf = str(tmp_path)
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    net, marks = toxicity.fit(docs, spark.read.parquet(f"{sf}/labels.parquet"))
+    rest = lambda r: tuple(x for c, x in r.asDict().items() if c not in ("text", "n_chars"))
+    rows_of = lambda df: [(x.key, x.th, x.text, rest(x.rest)) for x in common.keyed(df, carry=True).collect()]
+    given = rows_of(docs)
+    langs = [r[3][docs.columns.index("lang") - docs.columns.index("text")] for r in given]
+    clean = [r for r, lang in zip(given, langs, strict=True) if plain_score(net, r[2]) < marks.get(lang, marks[None])]
+    assert {r[3][0] for r in given} - {r[3][0] for r in clean} >= {300 + i for i in range(60) if vile[i][1].split().count("vile") > 1}
+    once = lambda want: collections.Counter((t, r) for _, _, t, r in want)
+    got, want = docs, clean
+    stages = [lambda x: x, plain_line_dedup, plain_jaccard, lambda x: [r for r in x if not any(norm(t) and nearest(norm(t), norm(r[2])) <= len(norm(t)) // 5 for _, t in bench)]]
+    for (name, stage), plain in zip(corpus_pipeline.STAGES, stages, strict=False):
+        want = plain(want)
+        got = common.written(stage(spark, got, sf), "stage")
+        assert got.columns == docs.columns
+        assert once(rows_of(got)) == once(want), name
+        # Texts have changed, and with them their hashes.
+        want = rows_of(got)
+    library = Tokenizer.from_file(bpe.tokenizer_path())
+    ids = collections.Counter((r.doc_id, tuple(r.ids)) for r in corpus_pipeline.run(spark, sf).collect())
+    assert ids == collections.Counter((r[3][0], tuple(library.encode(r[2], add_special_tokens=False).ids)) for r in want)
+    assert len(want) >= 60 and sum(not r[2].split() for r in want) >= 5 and sum(r[3][0] in (None, 500) for r in want) >= 20
+
+
+def test_stages_take_other_columns(spark):
+    sf = "/root/testdata/sf0.001"
+    docs = spark.createDataFrame([(1, "a b\nc d\na b\nc d", 5), (2, "x y", 6), (None, None, 7)], "doc_id long, text string, rest int")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, sf)
+        assert out.columns == docs.columns and out.count() == 3, name
+
+
 def test_stages_take_odd_rows(spark):
     sf = "/root/testdata/sf0.001"
     docs = frame(spark, with_odd_rows(corpus(8)))
