@@ -126,7 +126,7 @@ def ablation(book: DataFrame, rules: Mapping[str, str] = RULES, policies: Mappin
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     book = apply_policy(ledger(table(spark, sf_dir, "documents")))
-    base = F.expr(f"({RULES['few_words']}) OR ({RULES['repeated_words']})")
+    base = F.col("fail_bits").bitwiseAND(F.lit(mask("base-1"))) != 0
     return book.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base.alias("base_failed"), (~base & F.col("kept")).alias("kept"), "n_lines", "n_bangs", "fail_bits")
 
 
