@@ -2,9 +2,10 @@
 
 Pages become WARC records in gzip members; records whose payload another one
 has too point to it instead. Reading an archive back gives a run of captures,
-sorted by URL key and time. A range partition hands each task its stretch of
-keys from all runs, which a loser tree of k leaves merges, so that captures
-come out in global order.
+sorted by URL key and time; runs are written before they are merged. A range partition
+hands each task its stretch of keys from all runs, of about CAPTURED captures,
+which a loser tree of k leaves merges, so that captures come out in global
+order.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, work_path, written
+from .common import HOT, table, work_path, written
 from .files import read_file, write_file
 
 #: Payloads below so many bytes are never revisits. Fixed by the contract.
@@ -29,6 +30,8 @@ LEAST = 100
 ARCHIVE = 32 << 20
 #: Pages without a capture time are taken to follow one another by a second, by page_id, from here.
 EPOCH = datetime(2024, 1, 1, tzinfo=UTC)
+#: Captures that one task of a merge holds, as ranges are cut by a sample.
+CAPTURED = 200_000
 _ID = "urn:page:"
 _REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -98,8 +101,13 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
     time = pages["captured_at"].cast("timestamp") if "captured_at" in pages.columns else F.lit(None).cast("timestamp")
     base = pages.select(pages["page_id"].cast("long").alias("page_id"), pages["url"].cast("string").alias("url"), F.encode(F.coalesce(pages["html"].cast("string"), F.lit("")), "UTF-8").alias("payload"), time.alias("captured_at"))
     base = base.withColumn("digest", F.sha2("payload", 256))
-    firsts = base.where(F.length("payload") >= LEAST).groupBy("digest").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("times")).where("times > 1").select("digest", "first")
-    plan = base.join(firsts, "digest", "left").withColumn("refers_to", F.when(F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first")), F.col("first")))
+    # Payloads are told apart by SHA-256. Those that many pages share, like empty ones, are looked up where the pages are.
+    known = written(base.groupBy("digest").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("times"), F.max(F.length("payload")).alias("size")).where("times > 1"), "payloads")
+    firsts = known.select("digest", F.when(F.col("size") >= LEAST, F.col("first")).alias("first"))
+    hot = F.broadcast(known.where(F.col("times") * HOT > pages.count()).select("digest"))
+    usual = base.join(hot, "digest", "left_anti").join(firsts, "digest", "left")
+    plan = usual.unionByName(base.join(F.broadcast(firsts.join(hot, "digest", "left_semi")), "digest"))
+    plan = plan.withColumn("refers_to", F.when(F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first")), F.col("first")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lot: list[bytes] = []
@@ -219,11 +227,13 @@ def merge_runs(runs: DataFrame) -> DataFrame:
                 last = key
         yield from _batches(loser_tree(lots))
 
-    return runs.repartitionByRange("url_key", "captured_at", "page_id").mapInArrow(run, CAPTURES)
+    least = int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return runs.repartitionByRange(max(least, -(-runs.count() // CAPTURED)), "url_key", "captured_at", "page_id").mapInArrow(run, CAPTURES)
 
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    captures = merge_runs(capture_runs(write_archives(table(spark, sf_dir, "pages"), work_path(spark, "warc"))))
+    archives = write_archives(table(spark, sf_dir, "pages"), work_path(spark, "warc"))
+    captures = merge_runs(written(capture_runs(archives), "capture-runs"))
     return captures.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
