@@ -156,7 +156,7 @@ BYTE_LEVEL = {b: b for b in _PRINTED} | {b: 256 + i for i, b in enumerate(sorted
 def _as_known(spec: dict) -> bool:
     """Whether the file lower-cases text in NFC, splits runs of letters from runs of other signs, and names bytes as above."""
     normal, pre = spec.get("normalizer") or {}, spec.get("pre_tokenizer") or {}
-    kinds = [x["type"] for x in normal.get("normalizers", [normal])], [x["type"] for x in pre.get("pretokenizers", [pre])]
+    kinds = [x.get("type") for x in normal.get("normalizers", [normal])], [x.get("type") for x in pre.get("pretokenizers", [pre])]
     if kinds != (["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"]):
         return False
     split, level = pre["pretokenizers"]
@@ -164,14 +164,29 @@ def _as_known(spec: dict) -> bool:
     return normal["normalizers"][1]["pattern"] == {"Regex": r"\s+"} and pattern.endswith(r"|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+") and pattern.startswith("'") and split["invert"] and split["behavior"] == "Removed" and not level["use_regex"] and not level["add_prefix_space"]
 
 
+def check_tokenizer(path: str) -> dict:
+    """The file's contents; an error if its texts can't be encoded chunk by chunk between white space.
+
+    They can if the pre-tokenizer drops white space before all else and no
+    added token holds any: then no token reaches over a gap.
+    """
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    pre = spec.get("pre_tokenizer") or {}
+    first = pre.get("pretokenizers", [pre])[0]
+    drops = first.get("type") in ("Whitespace", "WhitespaceSplit", "BertPreTokenizer") or _as_known(spec)
+    if not drops or any(t["content"].split() != [t["content"]] for t in spec["added_tokens"]):
+        raise ValueError(f"{path}: white space is part of this tokenizer's tokens, which isn't supported")
+    return spec
+
+
 class Model:
     """A tokenizer file's BPE: its added tokens and normalizer as the library reads them, its merges by a PairIndex."""
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
+        spec = check_tokenizer(path)
         m = spec["model"]
         if m["type"] != "BPE" or m.get("dropout") or m.get("continuing_subword_prefix") or m.get("byte_fallback") or m.get("ignore_merges") or m.get("unk_token"):
             raise ValueError(f"{path}: this kind of BPE model isn't supported")
@@ -228,8 +243,7 @@ class LibraryCache(dict):
         self.library.no_truncation()
         self.library.no_padding()
         self.model, self.older = self.library.model, {}
-        with open(path, encoding="utf-8") as f:
-            self.simple = _as_known(json.load(f))
+        self.simple = _as_known(check_tokenizer(path))
 
     def _ids(self, chunk: bytes) -> bytes:
         text = chunk.decode("utf-8", "replace")
@@ -349,6 +363,7 @@ def bpe_encode(docs: DataFrame, tokenizer: str, digest: bool = False) -> DataFra
     rows and a bounded cache of chunks. tokenizer: a path that each executor
     can open.
     """
+    check_tokenizer(tokenizer)
     schema = "doc_id long, n_tokens long, " + ("ids_sha256 string, decoded_sha256 string" if digest else "ids array<int>, decoded string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

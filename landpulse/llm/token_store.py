@@ -17,7 +17,7 @@ from __future__ import annotations
 import json
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -25,9 +25,9 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .bpe import library_cache, texts_of, tokenizer_path
+from .bpe import check_tokenizer, library_cache, texts_of, tokenizer_path
 from .common import NO_ID, keyed, table, work_path, written
-from .files import read_file, write_file
+from .files import read_file, read_range, write_file
 
 MAGIC = b"LPWM1\0"
 #: Bits of a plane for which the ones before are counted.
@@ -41,7 +41,7 @@ END = 1
 class WaveletMatrix:
     """A sequence of ids with access, rank, count, select and occurrences."""
 
-    def __init__(self, n: int, names: np.ndarray, planes: list[np.ndarray], zeros: list[int], ones: list[np.ndarray]) -> None:
+    def __init__(self, n: int, names: np.ndarray, planes: Sequence[np.ndarray], zeros: list[int], ones: Sequence[np.ndarray]) -> None:
         self.n, self.names, self.planes, self.zeros, self.ones = n, names, planes, zeros, ones
         self.codes = {int(x): c for c, x in enumerate(names)}
 
@@ -91,7 +91,7 @@ class WaveletMatrix:
         return int(self.names[code])
 
     def _range(self, code: int, i: int) -> tuple[int, int]:
-        """Where the id's part begins after all planes, and ends for the first i ids."""
+        """Where the id's part begins after all planes, and ends for the first i ids, by two ranks in each plane."""
         lo, hi = 0, i
         for level, zeros in enumerate(self.zeros):
             a, b = self._rank1(level, lo), self._rank1(level, hi)
@@ -119,8 +119,17 @@ class WaveletMatrix:
             i = self._select(level, bit, i - self.zeros[level] if bit else i)
         return i
 
-    def occurrences(self, token: int) -> Iterator[int]:
-        return (self.select(token, k) for k in range(self.count(token)))
+    def occurrences(self, token: int) -> np.ndarray:
+        """All positions of the id, in order: its part behind all planes, taken back plane by plane, each of which is opened once."""
+        if token not in self.codes:
+            return np.zeros(0, np.int64)
+        code = self.codes[token]
+        at = np.arange(*self._range(code, self.n), dtype=np.int64)
+        for level in range(len(self.zeros) - 1, -1, -1):
+            bit = code >> (len(self.zeros) - 1 - level) & 1
+            places = np.flatnonzero(np.unpackbits(self.planes[level], count=self.n, bitorder="little") == bit)
+            at = places[at - self.zeros[level] if bit else at]
+        return at
 
     def ids(self) -> np.ndarray:
         """The whole sequence, by undoing the planes from the lowest."""
@@ -152,30 +161,52 @@ def _ones(plane: np.ndarray) -> np.ndarray:
     return np.concatenate(([0], np.cumsum(each))).astype("<u4")
 
 
+class _Sections(Sequence):
+    """A shard's planes, or the counts that go with them, each read when it is asked for; the last one is kept."""
+
+    def __init__(self, shard: Shard, name: str, kind: str) -> None:
+        self.shard, self.name, self.kind, self.last = shard, name, kind, (-1, np.zeros(0))
+
+    def __len__(self) -> int:
+        return len(self.shard.header["zeros"])
+
+    def __getitem__(self, i: int) -> np.ndarray:
+        if not 0 <= i < len(self):
+            raise IndexError(i)
+        if self.last[0] != i:
+            self.last = i, np.frombuffer(self.shard.section(f"{self.name}{i}"), self.kind)
+        return self.last[1]
+
+
 class Shard:
-    """A file's contents: keys and lengths of its documents, and their ids."""
+    """Keys and lengths of documents, and their ids, from a file's bytes or from read(offset, length), which is asked only for the parts needed."""
 
-    def __init__(self, data: bytes) -> None:
-        if data[: len(MAGIC)] != MAGIC:
+    def __init__(self, source: bytes | Callable[[int, int], bytes]) -> None:
+        read = source if callable(source) else lambda offset, length: source[offset : offset + length]
+        head = read(0, len(MAGIC) + 4)
+        if head[: len(MAGIC)] != MAGIC:
             raise ValueError("not a token shard")
-        size = struct.unpack_from("<I", data, len(MAGIC))[0]
-        self.at = len(MAGIC) + 4 + size
-        self.data, self.header = data, json.loads(data[len(MAGIC) + 4 : self.at])
+        size = struct.unpack_from("<I", head, len(MAGIC))[0]
+        self.read, self.at = read, len(MAGIC) + 4 + size
+        self.header = json.loads(read(len(MAGIC) + 4, size))
         self.n = self.header["n"]
 
-    def _section(self, name: str) -> bytes:
+    @classmethod
+    def at_path(cls, path: str) -> Shard:
+        return cls(lambda offset, length: read_range(path, offset, length))
+
+    def section(self, name: str) -> bytes:
         offset, length = self.header["sections"][name]
-        return zstandard.decompress(self.data[self.at + offset : self.at + offset + length])
+        return zstandard.decompress(self.read(self.at + offset, length))
 
     def keys(self) -> np.ndarray:
-        return np.frombuffer(self._section("keys"), "<i8")
+        return np.frombuffer(self.section("keys"), "<i8")
 
     def lengths(self) -> np.ndarray:
-        return np.frombuffer(self._section("lengths"), "<u4")
+        return np.frombuffer(self.section("lengths"), "<u4")
 
     def matrix(self) -> WaveletMatrix:
-        planes = range(len(self.header["zeros"]))
-        return WaveletMatrix(self.n, np.frombuffer(self._section("names"), "<u4"), [np.frombuffer(self._section(f"plane{i}"), np.uint8) for i in planes], self.header["zeros"], [np.frombuffer(self._section(f"ones{i}"), "<u4") for i in planes])
+        return WaveletMatrix(self.n, np.frombuffer(self.section("names"), "<u4"), _Sections(self, "plane", "u1"), self.header["zeros"], _Sections(self, "ones", "<u4"))
 
     @staticmethod
     def encode(keys: list[int], lengths: list[int], ids: np.ndarray) -> bytes:
@@ -202,6 +233,7 @@ def write_shards(docs: DataFrame, tokenizer: str, folder: str, end: int | None =
     of a task writes new files, and only those of the attempt that succeeded
     are in the list. Empty docs give an empty list.
     """
+    check_tokenizer(tokenizer)
     schema = "part int, nth int, path string, first long, n_docs long, n_tokens long"
     tail = b"" if end is None else struct.pack("<I", end)
 
@@ -261,5 +293,32 @@ def read_shards(shards: DataFrame, full: bool = False) -> DataFrame:
     return placed.repartition(n, "path").mapInArrow(run, schema)
 
 
+def find_tokens(shards: DataFrame, tokens: Iterable[int]) -> DataFrame:
+    """(doc_id, token, n, places array<long>): how often and where in its ids each document has those tokens; no row where it hasn't.
+
+    Counts and occurrences come from rank and select, plane by plane, without
+    decoding a shard. A row's places are a document's own, at most its length.
+    """
+    wanted = sorted({int(t) for t in tokens})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                s = Shard.at_path(path)
+                m, keys, ends = s.matrix(), s.keys(), np.cumsum(s.lengths().astype(np.int64))
+                for token in wanted:
+                    if not m.count(token):
+                        continue
+                    at = m.occurrences(token)
+                    doc = np.searchsorted(ends, at, "right")
+                    own, first, n = np.unique(doc, return_index=True, return_counts=True)
+                    starts = np.concatenate(([0], ends))[doc]
+                    places = pa.ListArray.from_arrays(pa.array(np.append(first, len(at)).astype(np.int32)), pa.array(at - starts))
+                    yield pa.RecordBatch.from_arrays([pa.array([None if k == NO_ID else k for k in keys[own].tolist()], pa.int64()), pa.array(np.full(len(own), token)), pa.array(n), places], ["doc_id", "token", "n", "places"])
+
+    n = int(shards.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return shards.select("path").repartition(n, "path").mapInArrow(run, "doc_id long, token long, n long, places array<long>")
+
+
 def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_shards(write_shards(table(spark, sf_dir, "documents"), tokenizer_path(), work_path(spark, "tokens")))

@@ -76,6 +76,35 @@ def test_token_store(spark, shard):
     assert empty.count() == 0 and token_store.read_shards(empty).count() == 0
 
 
+@pytest.mark.parametrize("shard", [500, 10**9])
+def test_tokens_are_found_without_decoding(spark, shard):
+    rows = corpus(7, 60) + [(None, "w1 w1", None, None, 0)]
+    listed = token_store.write_shards(frame(spark, rows), PATH, work_path(spark, "t"), shard=shard)
+    wanted = [*ids("w1 the"), 1, 49_000_000]
+    got = sorted((str(r.doc_id), r.token, r.n, r.places) for r in token_store.find_tokens(listed, wanted).collect())
+    want = []
+    for d, t, *_ in rows:
+        own = np.array([*ids(t), 1])
+        want += [(str(d), x, int((own == x).sum()), np.flatnonzero(own == x).tolist()) for x in set(wanted) if (own == x).any()]
+    assert got == sorted(want)
+
+
+def test_only_needed_parts_of_a_shard_are_read():
+    seq = np.random.default_rng(3).integers(0, 300, 50_000)
+    data, read = token_store.Shard.encode([1], [len(seq)], seq), []
+    shard = token_store.Shard(lambda offset, length: read.append(length) or data[offset : offset + length])
+    assert shard.n == len(seq) and sum(read) < len(data) / 10
+    m = shard.matrix()
+    assert sum(read) < len(data) / 10 and m.access(7) == seq[7]
+
+
+def test_tokenizers_that_keep_white_space_are_refused(spark):
+    other = PATH.replace("word_bpe_49k", "byte_bpe_50k")
+    for use in (lambda: bpe.bpe_encode(frame(spark, []), other), lambda: token_store.write_shards(frame(spark, []), other, work_path(spark, "t")), lambda: bpe.Model(other)):
+        with pytest.raises(ValueError, match="white space"):
+            use()
+
+
 @pytest.mark.parametrize("n", [0, 1, 9, 5000, 20000])
 def test_wavelet_matrix(n):
     rng = np.random.default_rng(n)
