@@ -76,10 +76,15 @@ def break_class(year: Column, magnitude: Column, threshold: float) -> Column:
     return F.when(year.isNull() | magnitude.isNull(), 1).when(magnitude <= threshold, year.cast("int")).otherwise(0)
 
 
-def item_datetime(label: Column) -> Column:
-    """When an item dates from: the middle of a year, an ISO date, or NULL."""
+def item_datetime(label: Column, file: Column | None = None, now: Column | None = None) -> Column:
+    """When an item dates from: the middle of a year, an ISO date, else a year with which the file's name begins, else now; NULL if none of them is given."""
     year = F.when(label.rlike(r"^\d{4}$"), label.cast("int"))
-    return F.coalesce(F.make_date(year, F.lit(7), F.lit(1)), F.to_date(F.try_to_timestamp(label)))
+    middle = lambda y: F.make_date(y, F.lit(7), F.lit(1))
+    found = [middle(year), F.to_date(F.try_to_timestamp(label))]
+    if file is not None:
+        stem = F.regexp_extract(F.element_at(F.split(file, "/"), -1), r"^(\d{4})(?!\d)", 1)
+        found.append(middle(F.when(stem != "", stem.cast("int"))))
+    return F.coalesce(*found, *([now.cast("date")] if now is not None else []))
 
 
 def line_value(x: Column, slope: Column, intercept: Column) -> Column:

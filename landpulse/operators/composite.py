@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Window
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import indices, scalars
 from ..params import CLOUD_CLASSES, Composite
-from . import neighborhood
+from . import neighborhood, spatial
 
 
 def in_period(t: Column, start: str, end: str, end_inclusive: bool = False) -> Column:
@@ -19,10 +20,11 @@ def in_period(t: Column, start: str, end: str, end_inclusive: bool = False) -> C
 
 
 def coverage(df: DataFrame, cloud: str, out: str, groups: Iterable[str] = ("t",)) -> DataFrame:
-    """The mean of 1 - cloud over all pixels of a date. Means are summed up before the shuffle and joined back by date, so a date's pixels never meet in one task."""
+    """The mean of 1 - cloud over all pixels of a date; a missing date is one too. Means are summed up before the shuffle and joined back by date, so a date's pixels never meet in one task."""
     groups = list(groups)
-    means = df.groupBy(*groups).agg(F.avg(1 - F.col(cloud).cast("double")).alias(out))
-    return df.join(means, groups)
+    means = df.groupBy(*(F.col(g).alias(f"_of_{g}") for g in groups)).agg(F.avg(1 - F.col(cloud).cast("double")).alias(out))
+    same = [F.col(g).eqNullSafe(F.col(f"_of_{g}")) for g in groups]
+    return df.join(means, same).drop(*(f"_of_{g}" for g in groups))
 
 
 def best_of_month(df: DataFrame, score: str, pixel: Iterable[str] = ("y", "x"), t: str = "t") -> DataFrame:
@@ -41,31 +43,50 @@ def scored(scenes: DataFrame, run: Composite) -> DataFrame:
     return out.withColumn("score", F.when(F.col("valid"), scalars.weighted([F.col("dtc"), F.col("date"), F.col("coverage")], run.weights)))
 
 
-def bap(scenes: DataFrame, run: Composite) -> DataFrame:
+def inside(scenes: DataFrame, aoi: DataFrame, all_touched: bool = False) -> DataFrame:
+    """The rows of scenes whose pixels lie in any zone of aoi (zone_id, rings, in cells of the grid): the zones dissolved.
+
+    The zones' common box, one row, reaches the scan as a filter. Pixels are
+    tested once each, whatever their number of dates.
+    """
+    box = spatial.bbox(aoi).agg(F.min("min_x"), F.min("min_y"), F.max("max_x"), F.max("max_y")).first()
+    if box[0] is None:
+        return scenes.limit(0)
+    near = scenes.where(F.col("x").between(math.floor(box[0]), math.ceil(box[2])) & F.col("y").between(math.floor(box[1]), math.ceil(box[3])))
+    pixels = near.select("y", "x").distinct()
+    return near.join(spatial.clip(pixels, aoi, all_touched=all_touched).select("y", "x").distinct(), ["y", "x"], "left_semi")
+
+
+def bap(scenes: DataFrame, run: Composite, aoi: DataFrame | None = None) -> DataFrame:
     """(period, time_label, y, x, payload): for each period the median of the months' best pixels.
 
     All periods run as one job: each scene row goes to the periods that it
-    lies in. Filters on time and cloud cover come first, and reach the scan.
+    lies in. Filters on time, cloud cover and area come first, and reach the
+    scan. With aoi, only its pixels are looked at, so scores depend on it too,
+    and the result is clipped to it.
     """
     run = run.check()
     bands = run.bands()
     if "cloud_cover" in scenes.columns:
         scenes = scenes.where(F.col("cloud_cover") <= run.max_cloud_cover)
     periods = run.periods()
-    inside = [in_period(F.col("t"), p["start"], p["end"], run.end_inclusive) for p in periods]
-    any_of = inside[0]
-    for c in inside[1:]:
+    of_period = [in_period(F.col("t"), p["start"], p["end"], run.end_inclusive) for p in periods]
+    any_of = of_period[0]
+    for c in of_period[1:]:
         any_of = any_of | c
-    labels = F.array_compact(F.array(*(F.when(c, F.struct(F.lit(p["label"]).alias("period"), F.lit(p["time_label"]).alias("time_label"))) for c, p in zip(inside, periods, strict=True))))
-    rows = scored(scenes.where(any_of).select("t", "y", "x", "SCL", *bands), run).withColumn("p", F.explode(labels)).select("*", "p.*").drop("p")
+    labels = F.array_compact(F.array(*(F.when(c, F.struct(F.lit(p["label"]).alias("period"), F.lit(p["time_label"]).alias("time_label"))) for c, p in zip(of_period, periods, strict=True))))
+    scenes = scenes.where(any_of)
+    if aoi is not None:
+        scenes = inside(scenes, aoi)
+    rows = scored(scenes.select("t", "y", "x", "SCL", *bands), run).withColumn("p", F.explode(labels)).select("*", "p.*").drop("p")
     best = best_of_month(rows, "score", ("period", "y", "x"))
     medians = best.groupBy("period", "time_label", "y", "x").agg(*(F.median(b).alias(b) for b in bands))
     return indices.payload(medians, run.payload, run.indices, bands, ("period", "time_label", "y", "x"), savi_l=run.savi_l, coefficients=run.tcw)
 
 
-def season_medians(scenes: DataFrame, months: Iterable[int], soil: float = 0.5, classes: Iterable[int] = CLOUD_CLASSES, pixel: Iterable[str] = ("y", "x")) -> DataFrame:
-    """(pixel, year, savi): raw bands to reflectance, clouds out, the median index of the months of each year."""
-    clean = {b: scalars.baseline_offset(scalars.positive(F.col(b)), F.col("t")) for b in ("B04", "B08")}
+def season_medians(scenes: DataFrame, months: Iterable[int], soil: float = 0.5, classes: Iterable[int] = CLOUD_CLASSES, pixel: Iterable[str] = ("y", "x"), **offset) -> DataFrame:
+    """(pixel, year, savi): raw bands to reflectance (offset: as of scalars.baseline_offset), clouds out, the median index of the months of each year."""
+    clean = {b: scalars.baseline_offset(scalars.positive(F.col(b)), F.col("t"), **offset) for b in ("B04", "B08")}
     clear = ~F.coalesce(F.col("SCL"), F.lit(0)).isin(*classes)
     value = F.when(clear, indices.savi(clean["B08"], clean["B04"], soil))
     rows = scenes.where(F.month("t").isin(*months)).select(*pixel, F.year("t").alias("year"), value.alias("savi"))

@@ -53,10 +53,18 @@ def check_basins(basins: DataFrame, column: str) -> DataFrame:
     return found.withColumn("ok", (F.col("n_rows") > 0) & (F.col("n_null") == 0) & (F.col("n_rows") == F.col("n_distinct")))
 
 
-def by_basin(series: DataFrame, basins: DataFrame, basin: str, keys: Iterable[str], target: float, restored: int, disturbed: int, step: int, **options) -> tuple[DataFrame, DataFrame]:
-    """(metrics, status): all basins in one job; a basin without a usable pixel is a row of status and not an error of the others."""
-    keys = list(keys)
-    found = recovery(series, [basin, *keys], target, restored, disturbed, step, **options)
+def by_basin(series: DataFrame, basins: DataFrame, basin: str, keys: Iterable[str], target: float | str, restored: int | str, disturbed: int | str, step: int, **options) -> tuple[DataFrame, DataFrame]:
+    """(metrics, status): all basins in one job; a basin without a usable pixel is a row of status and not an error of the others.
+
+    target, restored and disturbed are values for all basins, or names of
+    basins' columns, so that each has its own. Basins must be unique.
+    """
+    keys, own = list(keys), {"_target": target, "_restored": restored, "_disturbed": disturbed}
+    mine = {k: c for k, c in own.items() if isinstance(c, str)}
+    if mine:
+        series = series.join(basins.select(basin, *(F.col(c).alias(k) for k, c in mine.items())), basin)
+    values = [F.col(k) if k in mine else F.lit(c) for k, c in own.items()]
+    found = recovery(series, [basin, *keys], *values, step, **options)
     usable = found.groupBy(basin).agg(F.count(F.lit(1)).alias("n_pixels"), F.count("deltaIR").alias("n_usable"))
     status = basins.select(basin).join(usable, basin, "left").select(basin, F.coalesce("n_pixels", F.lit(0)).alias("n_pixels"), F.when(F.col("n_usable") > 0, "ok").otherwise("failed").alias("status"), F.when(F.col("n_pixels").isNull(), "no pixels").when(F.col("n_usable") == 0, "no value in the years needed").otherwise("").alias("reason"))
     return found, status

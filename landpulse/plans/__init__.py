@@ -1 +1,3 @@
-"""Queries over the driver's tables, with their SQL."""
+"""The registered queries and their SQL."""
+
+from . import flows as flows

@@ -30,10 +30,19 @@ def single_band(df: DataFrame, value: str = "v") -> DataFrame:
 
 def yearly_stack(pixels: DataFrame, files: DataFrame, nodata: float | None = None) -> DataFrame:
     """(year, y, x, v) of pixels (name, y, x, v) in the files (year, name), with nodata as null, series by series in one partition."""
-    rows = pixels.join(F.broadcast(files) if files.count() < 10_000 else files, "name")
+    count = files.count()
+    need(count > 0, "no raster of any year was found")
+    rows = pixels.join(F.broadcast(files) if count < 10_000 else files, "name")
     return rows.select("year", "y", "x", to_null(F.col("v").cast("double"), nodata).alias("v")).repartition("y", "x")
 
 
+def monthly_stack(pixels: DataFrame, found: DataFrame, nodata: float | None = None) -> DataFrame:
+    """(t, y, x, v) of pixels (name, band, y, x, v): of each file the band that found (t, name, band; see manifest.monthly) says, with nodata as null. Nothing found is an error."""
+    need(not found.isEmpty(), "the manifest names no raster that is there")
+    rows = pixels.join(found.select("t", "name", "band"), ["name", "band"])
+    return rows.select("t", "y", "x", to_null(F.col("v").cast("double"), nodata).alias("v"))
+
+
 def target(spark: SparkSession, path: str) -> DataFrame:
     """A written reference target: (index, target). Pickled objects are never read."""
     need(not path.endswith((".pkl", ".pickle")), "pickled targets aren't read")

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from datetime import UTC, datetime
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,6 +59,28 @@ def layer(zones: DataFrame, path: str) -> None:
     feature(zones).write.mode("overwrite").text(path)
 
 
+def collection(zones: DataFrame, path: str) -> None:
+    """Zones as FeatureCollections, one in each file: what vectors.zones() reads, from all files of the folder."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        line = lambda *x: pa.RecordBatch.from_arrays([pa.array(x, pa.string())], ["value"])
+        yield line('{"type":"FeatureCollection","features":[')
+        first = True
+        for batch in batches:
+            for value in batch.column(0).to_pylist():
+                yield line(value if first else f",{value}")
+                first = False
+        yield line("]}")
+
+    feature(zones).mapInArrow(run, "value string").write.mode("overwrite").text(path)
+
+
+def resume(entries: DataFrame, spark: SparkSession, path: str, column: str = "period") -> DataFrame:
+    """entries (column and the manifest's fields) with done: whether path holds rows of that period. Those to run are the ones not done; the manifest takes all."""
+    todo = pending(entries.select(column).distinct(), spark, path, column)
+    return entries.join(todo.withColumn("_todo", F.lit(True)), column, "left").withColumn("done", F.col("_todo").isNull()).drop("_todo")
+
+
 def flat_reason(reason: Column) -> Column:
     """A reason that a CSV cell can hold."""
     return F.replace(F.replace(reason, F.lit("\n"), F.lit(" ")), F.lit(","), F.lit(";"))

@@ -43,6 +43,11 @@ def points(spark: SparkSession, path: str) -> DataFrame:
     return at.select(F.col("c")[0].alias("px"), F.col("c")[1].alias("py"))
 
 
+def relabelled(crs: str | None, of: str | None) -> str | None:
+    """The reference system under which a target is combined with series in another one: that of the series, where it is known; the values stay as they are."""
+    return of or crs
+
+
 def same_crs(*names: str | None) -> str:
     """The layers' common reference system; a missing or another one is an error."""
     need(all(names), "a layer has no reference system")
