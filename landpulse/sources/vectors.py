@@ -27,9 +27,14 @@ def payload(parameters: Mapping[str, Any], inline: str, file: str) -> dict[str,
 
 
 def zones(spark: SparkSession, path: str, attributes: str) -> DataFrame:
-    """(attributes, rings) of polygons and multipolygons in a GeoJSON file; attributes is their schema."""
-    schema = f"type string, features array<struct<properties:struct<{attributes}>,geometry:struct<type:string,coordinates:string>>>"
-    features = spark.read.schema(schema).json(path, multiLine=True).select(F.explode("features").alias("f"))
+    """(attributes, rings) of polygons and multipolygons in a GeoJSON file, or in all files of a folder; attributes is their schema."""
+    return parsed(spark.read.text(path, wholetext=True), attributes)
+
+
+def parsed(texts: DataFrame, attributes: str) -> DataFrame:
+    """As zones(), of FeatureCollections as text (value)."""
+    schema = f"struct<features:array<struct<properties:struct<{attributes}>,geometry:struct<type:string,coordinates:string>>>>"
+    features = texts.select(F.explode(F.from_json("value", schema)["features"]).alias("f"))
     one = F.array(F.from_json("f.geometry.coordinates", _POLYGON))
     many = F.from_json("f.geometry.coordinates", f"array<{_POLYGON}>")
     parts = F.flatten(F.when(F.col("f.geometry.type") == "Polygon", one).otherwise(many))
