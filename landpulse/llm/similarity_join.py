@@ -19,8 +19,8 @@ verified on whole sets. Connected components of the links are the result.
 
 A signature that more than 1/HOT of all are (and more than BLOCK) is split:
 each part has a pivot of its own, which is compared with the first. Where
-pairs need what is known of both sets, that of the set that stands in most of
-them, the hub, moves once to each of SPREAD parts of its pairs.
+pairs need what is known of both sets, that of the hub, a pivot that stands in
+many, moves once for all its pairs, or once to each of SPREAD parts of them.
 """
 
 from __future__ import annotations
@@ -51,8 +51,10 @@ GROUP = 16
 NEIGHBOURS = (1, 2)
 #: Members of such a group that one task compares with one another, or with as many others, at a time.
 BLOCK = 4096
-#: Parts into which the pairs of one hub are dealt.
+#: Parts into which the pairs of a hub with more than 1/HOT of all are dealt.
 SPREAD = 256
+#: One in so many sets is counted to find signatures that must be split.
+SAMPLED = 16
 
 
 def shingle_sets(texts: list[bytes], k: int) -> list[np.ndarray]:
@@ -257,8 +259,10 @@ def _split_signatures(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = sets.where("size(sigs) > 0").select(F.explode("sigs").alias("sig"), "n", "sid")
     total = sets.agg(F.sum(F.size("sigs"))).first()[0] or 0
     most = max(total // HOT, BLOCK)
-    hot = rows.groupBy("sig").count().where(F.col("count") > most)  # HOT at most
-    parts = F.ceil(F.col("count") / most).cast("int")
+    # Counted over every SAMPLED-th set: what is split changes costs, never links.
+    counts = rows.where(F.expr(f"pmod(xxhash64(sid), {SAMPLED}) = 0")).groupBy("sig").count()
+    hot = counts.where(F.col("count") * SAMPLED > most)  # 2 * HOT or so at most
+    parts = F.ceil(F.col("count") * SAMPLED / most).cast("int")
     dealt = rows.join(F.broadcast(hot.select("sig", parts.alias("parts"))), "sig", "left").select("sig", F.coalesce(F.expr("pmod(xxhash64(sid), parts)").cast("long"), F.lit(-1).cast("long")).alias("part"), "n", "sid")
     pivots = dealt.where("part >= 0").groupBy("sig", "part").agg(F.min(F.struct("n", "sid")).alias("pivot"))
     first = pivots.groupBy("sig").agg(F.min("pivot")["sid"].alias("hub"))
@@ -333,7 +337,9 @@ def _compare(rows: DataFrame, percent: int) -> DataFrame:
 def _where(pairs: DataFrame, known: DataFrame, linkable: Callable[[np.ndarray, np.ndarray], bool], kind: str) -> DataFrame:
     """The pairs (a, b; hub, one of them or null) for which linkable holds; known: sid, data (binary, read as arrays of that kind)."""
     hub = F.coalesce("hub", "a")
-    dealt = pairs.select(hub.alias("hub"), F.when(hub == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("other")).withColumn("part", F.expr(f"pmod(xxhash64(other), {SPREAD})"))
+    sided = pairs.select(hub.alias("hub"), F.when(hub == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("other"))
+    hot = hot_keys(sided.groupBy("hub").count(), "hub", "count").withColumn("parts", F.lit(SPREAD))
+    dealt = sided.join(F.broadcast(hot), "hub", "left").select("hub", "other", F.expr("pmod(xxhash64(other), coalesce(parts, 1))").alias("part"))
     hubs = dealt.select("hub", "part").distinct().join(known, F.col("hub") == known["sid"]).select("hub", "part", F.lit(None).cast("long").alias("other"), "data")
     others = dealt.join(known, F.col("other") == known["sid"]).select("hub", "part", "other", "data")
 
@@ -382,7 +388,7 @@ def _cross_parts(of: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """
     groups = of.groupBy("sig").agg(F.min("part").alias("x"), F.max("part").alias("y"), F.min(F.struct("n", "sid"))["sid"].alias("pivot"), F.count(F.lit(1)).alias("m")).where("x < y")
     sizes = groups.groupBy("pivot").agg(F.ceil(F.max("m") / BLOCK).cast("int").alias("blocks"))
-    rows = of.join(groups.select("sig", "pivot"), "sig").groupBy("pivot", "sid", "n", "part").agg(F.collect_list("sig").alias("sigs"))
+    rows = join_split(of, groups.select("sig", "pivot"), ["sig"], hot_keys(groups, "sig", "m")).groupBy("pivot", "sid", "n", "part").agg(F.collect_list("sig").alias("sigs"))
     tagged = sets.where("tags is not null").groupBy("sid").agg(F.first("tags").alias("tags"))
     own = F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")
     dealt = rows.join(tagged, "sid").join(sizes, "pivot").withColumn("block", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -459,7 +465,7 @@ def _verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, k: int, percen
         for batch, found, _ in _each(batches, k):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.tobytes() for s in found], pa.binary())], ["sid", "data"])
 
-    texts = docs.select("key", "th", "text").join(reps, ["key", "th"]).dropDuplicates(["sid"])
+    texts = docs.select("key", "th", "text").join(reps, ["key", "th"]).dropDuplicates(["key", "th"])
     known = texts.select("sid", "text").mapInArrow(read, "sid long, data binary")
 
     def linkable(x: np.ndarray, y: np.ndarray) -> bool:
