@@ -14,7 +14,9 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     Each round takes the least label among neighbours and then that label's
     own label, so paths shorten by more than half; rounds end when no label
     changes. Each round is a written table: memory and lineage stay bounded,
-    and what a lost executor held is read again. Empty edges give no rows.
+    and what a lost executor held is read again. Empty edges give no rows. A
+    label or vertex of many edges is a skewed key of a join with unique keys,
+    which adaptive execution splits.
     """
     both = written(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), f"{name}-edges")
     labels = written(both.groupBy(F.col("a").alias("v")).agg(F.least(F.min("b"), F.first("a")).alias("label")), f"{name}-labels")
