@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import keyed, table, written
+from .common import HOT, join_split, keyed, table, written
 
 #: A line ends a chunk if the rolling hash over it and the line before it is 0 modulo this, so chunks have three lines on average.
 DIVISOR = 3
@@ -75,21 +75,29 @@ def line_dedup(docs: DataFrame, divisor: int = DIVISOR, carry: bool = False, pai
     Scale: chunk hashes are counted with partial aggregation before any text
     moves; only chunks whose hash repeats are compared, again with partial
     aggregation by text, so a chunk that a third of all documents share is
-    summed up where it is read. No group is ever gathered.
+    summed up where it is read, and its places look it up there: neither its
+    rows nor its text move.
     """
     base = keyed(docs, carry)
     places = written(_pairs(base) if pairs else _chunks(base, divisor), "line-chunks")
     place = F.struct("key", "first", "th")
-    repeated = places.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("h")
-    by_doc = places.join(repeated, "h", "left_semi").groupBy("key", "th").agg(F.collect_set(F.struct("first", "n", "h")).alias("suspects"))
+    repeated = written(places.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "line-repeats")
+    hot = repeated.where(F.col("c") * HOT > places.count()).select("h")
+    by_doc = join_split(places, repeated.select("h"), ["h"], hot).groupBy("key", "th").agg(F.collect_set(F.struct("first", "n", "h")).alias("suspects"))
     with_text = base.join(by_doc, ["key", "th"]).select("key", "th", F.split("text", "\n", -1).alias("lines"), F.explode("suspects").alias("c"))
     chunk = F.array_join(F.slice("lines", F.col("c.first"), F.col("c.n")), "\n")
-    suspects = with_text.select("key", "th", "c.*", (F.unhex(F.sha2(chunk, 256)) if pairs else chunk).alias("chunk"))
-    firsts = suspects.groupBy("h", "chunk").agg(F.min(place).alias("lo"), F.max(place).alias("hi")).where("lo != hi")
+    digest = F.unhex(F.sha2("chunk", 256))
+    suspects = with_text.select("key", "th", "c.*", chunk.alias("chunk")).withColumn("digest", digest)
+    # Chunks are grouped by their bytes; places then find their group by its digest.
+    by = ["h", "digest"] if pairs else ["h", "chunk"]
+    firsts = suspects.groupBy(*by).agg(F.min(place).alias("lo"), F.max(place).alias("hi"), F.count(F.lit(1)).alias("times")).where("lo != hi")
+    firsts = written(firsts.select("h", ("digest" if pairs else digest.alias("digest")), "lo", "times"), "line-firsts")
+    total = firsts.agg(F.sum("times")).first()[0] or 0
+    many = firsts.where(F.col("times") * HOT > total).select("h", "digest")
     later = place != F.col("lo")
     if pairs:
         later = later & ~((F.col("key") == F.col("lo.key")) & (F.col("th") == F.col("lo.th")) & (F.col("first") < F.col("lo.first") + F.col("n")))
-    again = suspects.join(firsts, ["h", "chunk"]).where(later).select("key", "th", "first", "n")
+    again = join_split(suspects.drop("chunk"), firsts.drop("times"), ["h", "digest"], many).where(later).select("key", "th", "first", "n")
     removed = again.groupBy("key", "th").agg(F.sort_array(F.collect_set(F.struct("first", "n"))).alias("removed"))
     if pairs:
         removed = removed.select("key", "th", _runs(F.col("removed")).alias("removed"))
