@@ -47,6 +47,32 @@ def test_toxicity_cases(spark):
     assert {round(r.score, 6) for r in toxicity.score(docs, none, marks).collect()} == {0.01} and marks == {None: 0.5}
 
 
+def test_training_learns_word_order():
+    """Both classes have the same words; only their order tells. The start, which knows words alone, is no better than chance."""
+    rng = random.Random(3)
+
+    def text(toxic):
+        w = [f"w{rng.randrange(200)}" for _ in range(30)]
+        i, j = rng.sample(range(0, 30, 3), 2)
+        w[i : i + 2], w[j : j + 2] = (["red", "fox"], ["blue", "dog"]) if toxic else (["red", "dog"], ["blue", "fox"])
+        return " ".join(w).encode()
+
+    y = np.array([k % 2 for k in range(1200)], np.float32)
+    rows = [toxicity.features([text(k)])[0] for k in y]
+    share = {}
+    for epochs in (0, 8):
+        net = toxicity.train([r[: -toxicity.PAD] for r in rows[:900]], y[:900], epochs=epochs)
+        share[epochs] = np.mean([(net.scores(r, np.array([0]))[0] >= 0.5) == k for r, k in zip(rows[900:], y[900:], strict=True)])
+    assert share[0] < 0.65 and share[8] > 0.95
+
+
+def test_sample_is_bounded(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "MOST_CHARS", 2000)
+    docs = frame(spark, [(i, "good word " * 10 + ("vile" if i % 4 == 0 else ""), "en", "s", 0) for i in range(200)] + [(7, "x" * 1500, None, None, 0)] * 3)
+    net, marks = toxicity.fit(docs, spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(200)], "doc_id long, toxic int"))
+    assert 0 <= marks[None] <= 1 and toxicity.score(docs, net, marks).count() == 203
+
+
 def test_features():
     rows, starts = toxicity.features([b"abc defghijkl", b"", b"abc, ABC"])
     assert starts.tolist() == [0, 4, 6] and (rows[0] == rows[6]).all() and (rows[6] == rows[7]).all() and not rows[4:6].any()
