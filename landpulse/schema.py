@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Names of bands and manifest fields, and nodata, that files to read and write have.
 #: Reflectance bands in the order in which they are exported.
 BANDS = ("B02", "B03", "B04", "B08", "B11", "B12")
 #: Their names in recovery analysis, in the same order.
