@@ -6,9 +6,9 @@ from .bpe import op10_bpe
 from .decontamination import op7_decontamination
 from .line_dedup import OP1_SQL, op1_line_dedup
 from .quality_rules import OP5_SQL, op5_quality_rules
-from .similarity_join import op8_jaccard_join
-from .substring_dedup import op4_substring_dedup
-from .suffix_array import op6_suffix_array
+from .similarity_join import OP8_SQL, op8_jaccard_join
+from .substring_dedup import OP4_SQL, op4_substring_dedup
+from .suffix_array import OP6_SQL, op6_suffix_array
 from .token_store import op3_token_store
 from .toxicity import op2_toxicity
 from .warc import OP9_SQL, op9_warc
@@ -28,6 +28,9 @@ QUERIES = {
 
 ORACLES = {
     "op1_line_dedup": OP1_SQL,
+    "op4_substring_dedup": OP4_SQL,
     "op5_quality_rules": OP5_SQL,
+    "op6_suffix_array": OP6_SQL,
+    "op8_jaccard_join": OP8_SQL,
     "op9_warc": OP9_SQL,
 }

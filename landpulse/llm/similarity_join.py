@@ -550,3 +550,18 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = similarity_join(table(spark, sf_dir, "documents"), k=4, percent=85)
     doc_id = lambda c: F.when(F.col(c) != NO_ID, F.col(c))
     return out.select(doc_id("key").alias("doc_id"), F.col("n").alias("n_shingles"), doc_id("component").alias("component_id"))
+
+
+_CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+OP8_SQL = f"""
+WITH RECURSIVE d AS (SELECT doc_id, row_number() OVER () AS rn,
+    list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{_CAPITALS}', '{_CAPITALS.lower()}'), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS ws FROM documents),
+s AS (SELECT DISTINCT rn, sh FROM (SELECT rn, array_to_string(ws[i:i + 3], ' ') AS sh FROM (SELECT rn, ws, unnest(range(1, len(ws) - 2)) AS i FROM d)
+      UNION ALL SELECT rn, array_to_string(ws, ' ') FROM d WHERE len(ws) BETWEEN 1 AND 3)),
+c AS (SELECT rn, count(*) AS n FROM s GROUP BY rn),
+p AS (SELECT a.rn AS a, b.rn AS b, count(*) AS n FROM s a JOIN s b ON a.sh = b.sh AND a.rn < b.rn GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN c x ON x.rn = a JOIN c y ON y.rn = b WHERE 100 * p.n >= 85 * (x.n + y.n - p.n)),
+e AS MATERIALIZED (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT rn AS a, rn AS b FROM d UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+m AS (SELECT r.a AS rn, min(coalesce(d.doc_id, -9223372036854775808)) AS least FROM r JOIN d ON d.rn = r.b GROUP BY r.a)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, nullif(least, -9223372036854775808) AS component_id FROM d JOIN m ON m.rn = d.rn LEFT JOIN c ON c.rn = d.rn"""

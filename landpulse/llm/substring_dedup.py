@@ -147,3 +147,18 @@ def substring_dedup(docs: DataFrame, digest: bool = False) -> DataFrame:
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents"), digest=True)
+
+
+#: A window's place follows the one before it by less than WINDOW within a removed run, so runs and what lies between them come from places alone.
+OP4_SQL = f"""
+WITH d AS (SELECT doc_id, coalesce(doc_id, -9223372036854775808) AS key, row_number() OVER () AS rn,
+                  list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS ws FROM documents),
+w AS (SELECT key, rn, i, array_to_string(ws[i:i + {WINDOW - 1}], ' ') AS win FROM (SELECT key, rn, ws, unnest(range(1, len(ws) - {WINDOW - 2})) AS i FROM d)),
+h AS (SELECT rn, i FROM (SELECT key, rn, i, min(key) OVER (PARTITION BY win) AS least FROM w) WHERE least < key),
+g AS (SELECT rn, i, lag(i) OVER v AS before, lead(i) OVER v AS after FROM h WINDOW v AS (PARTITION BY rn ORDER BY i)),
+n AS (SELECT rn, sum(least({WINDOW}, coalesce(after - i, {WINDOW})))::BIGINT AS n_removed FROM g GROUP BY rn),
+p AS (SELECT rn, coalesce(before + {WINDOW}, 1) AS lo, i - 1 AS hi FROM g WHERE before IS NULL OR i > before + {WINDOW}
+      UNION ALL SELECT rn, i + {WINDOW}, 9223372036854775807 FROM g WHERE after IS NULL),
+k AS (SELECT p.rn, string_agg(array_to_string(ws[lo:least(hi, len(ws))], ' '), ' ' ORDER BY lo) FILTER (lo <= least(hi, len(ws))) AS kept FROM p JOIN d ON d.rn = p.rn GROUP BY p.rn)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(CASE WHEN n.rn IS NULL THEN array_to_string(ws, ' ') ELSE coalesce(kept, '') END) AS kept_sha256
+FROM d LEFT JOIN n ON n.rn = d.rn LEFT JOIN k ON k.rn = d.rn"""

@@ -151,3 +151,18 @@ def suffix_dedup(docs: DataFrame, digest: bool = False) -> DataFrame:
 
 def op6_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(table(spark, sf_dir, "documents"), digest=True)
+
+
+#: Bytes as two hexadecimal digits each. Strings are told apart by MD5, which keeps the query within memory.
+OP6_SQL = f"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS rn, hex(encode(coalesce(text, ''))) AS x FROM documents),
+w AS (SELECT rn, i, md5(substr(x, 2 * i + 1, {2 * LENGTH})) AS m FROM (SELECT rn, x, unnest(range(0, length(x) // 2 - {LENGTH - 1})) AS i FROM d)),
+h AS (SELECT rn, i FROM (SELECT rn, i, count(*) OVER (PARTITION BY m) AS c FROM w) WHERE c > 1),
+g AS (SELECT rn, i, lag(i) OVER v AS before, lead(i) OVER v AS after FROM h WINDOW v AS (PARTITION BY rn ORDER BY i)),
+n AS (SELECT rn, sum(least({LENGTH}, coalesce(after - i, {LENGTH})))::BIGINT AS n_removed, count(*) FILTER (before IS NULL OR i > before + {LENGTH}) AS n_spans FROM g GROUP BY rn),
+p AS (SELECT rn, coalesce(before + {LENGTH}, 0) AS lo, i AS hi FROM g WHERE before IS NULL OR i > before + {LENGTH}
+      UNION ALL SELECT rn, i + {LENGTH}, 2000000000 FROM g WHERE after IS NULL),
+k AS (SELECT p.rn, string_agg(substr(x, 2 * lo + 1, 2 * (hi - lo)), '' ORDER BY lo) AS kept FROM p JOIN d ON d.rn = p.rn GROUP BY p.rn)
+SELECT doc_id, (length(x) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(CASE WHEN n.rn IS NULL THEN x ELSE kept END)) AS kept_sha256
+FROM d LEFT JOIN n ON n.rn = d.rn LEFT JOIN k ON k.rn = d.rn"""

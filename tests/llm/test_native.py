@@ -14,6 +14,13 @@ def test_as_duckdb(spark, name):
     same(registry.QUERIES[name](spark, DATA), registry.ORACLES[name], DATA)
 
 
+@pytest.mark.parametrize("name", ["op4_substring_dedup", "op6_suffix_array", "op8_jaccard_join"])
+def test_odd_rows_as_duckdb(spark, tmp_path, name):
+    """Nulls, repeated rows, empty texts and white space alone."""
+    frame(spark, with_odd_rows(corpus(12, 80))).coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    same(registry.QUERIES[name](spark, str(tmp_path)), registry.ORACLES[name], str(tmp_path))
+
+
 @pytest.mark.parametrize("name", ["op1_line_dedup", "op5_quality_rules"])
 def test_native_plans(spark, name):
     plan = registry.QUERIES[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
