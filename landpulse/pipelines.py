@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from .operators import breaks, composite, disturbance, recovery, sen, spatial
 from .params import Breaks, Composite, Disturbance, Trend, need
-from .sources import manifest, rasters, sinks, vectors
+from .sources import geotiff, manifest, rasters, sinks, vectors
 
 Run = Callable[[SparkSession, Mapping[str, Any]], DataFrame]
 PIPELINES: dict[str, Run] = {}
@@ -46,8 +46,9 @@ def settings(kind: type, parameters: Mapping[str, Any]):
 
 
 def table(spark: SparkSession, parameters: Mapping[str, Any], name: str) -> DataFrame:
+    """The Parquet table, or the GeoTIFF files, that the parameter names."""
     need(bool(parameters.get(name)), f"{name} is needed")
-    return spark.read.parquet(parameters[name])
+    return geotiff.read(spark, parameters[name]) if parameters[name].endswith(".tif") else spark.read.parquet(parameters[name])
 
 
 def layer(spark: SparkSession, parameters: Mapping[str, Any], name: str, attributes: str) -> DataFrame | None:
@@ -121,7 +122,7 @@ def seasonal_sen(spark: SparkSession, parameters: Mapping[str, Any]) -> DataFram
 
 @pipeline
 def breaks_detection(spark: SparkSession, parameters: Mapping[str, Any]) -> DataFrame:
-    """pixels: a table (name, y, x, v) of yearly rasters; manifest says which year each is, or else its name."""
+    """pixels: a table (name, y, x, v) of yearly rasters; manifest says which year each is, or else its name. grid: the fields of a geotiff.Grid, for rasters of year and magnitude beside the table."""
     wish = settings(Breaks, parameters)
     pixels = table(spark, parameters, "pixels")
     files = pixels.select("name").distinct()
@@ -129,7 +130,11 @@ def breaks_detection(spark: SparkSession, parameters: Mapping[str, Any]) -> Data
     found = breaks.detect(rasters.yearly_stack(pixels, years, wish.nodata), ["y", "x"], threshold=wish.threshold, scale=wish.scale)
     path = f"{parameters['output']}/breaks"
     sinks.breaks(found, path, wish.nodata)
-    return items(spark, [("breaks", "", path)], None)
+    rows = [("breaks", "", path)]
+    for name, column in (("year", "change_year"), ("magnitude", "change_magnitude")) if parameters.get("grid") else ():
+        rows.append((name, "", f"{parameters['output']}/{name}.tif"))
+        geotiff.write(found.select("y", "x", F.col(column).alias("v")), rows[-1][2], geotiff.Grid(**parameters["grid"]), nodata=wish.nodata)
+    return items(spark, rows, None)
 
 
 @pipeline

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from landpulse import pipelines
 from landpulse.operators import composite, recovery
 from landpulse.params import Composite
-from landpulse.sources import manifest, rasters, sinks, vectors
+from landpulse.sources import geotiff, manifest, rasters, sinks, vectors
 
 
 def square(x0, y0, x1, y1, **properties):
@@ -73,6 +73,11 @@ def test_breaks(spark, tmp_path):
     spark.createDataFrame(rows, "name string, y int, x int, v double").write.parquet(f"{tmp_path}/px")
     pipelines.run(spark, {"algorithm": "breaks_detection", "pixels": f"{tmp_path}/px", "output": f"{tmp_path}/out", "threshold": 25.0})
     assert sorted((r.x, r.year, round(r.magnitude, 6)) for r in spark.read.parquet(f"{tmp_path}/out/breaks").collect()) == [(0, 2006.0, -500.0), (1, 2006.0, -499.0)]
+    # The same from GeoTIFF files, and to them.
+    for y in range(2000, 2012):
+        geotiff.write(spark.createDataFrame([(r[1], r[2], r[3]) for r in rows if r[0] == f"{y}.tif"], "y int, x int, v double"), f"file://{tmp_path}/tif/{y}.tif", geotiff.Grid(1, 2), "float64")
+    pipelines.run(spark, {"algorithm": "breaks_detection", "pixels": f"{tmp_path}/tif/*.tif", "output": f"file://{tmp_path}/out2", "threshold": 25.0, "grid": {"height": 1, "width": 2}})
+    assert sorted((r.x, r.v) for r in geotiff.read(spark, f"{tmp_path}/out2/year.tif").collect()) == [(0, 2006.0), (1, 2006.0)]
     with pytest.raises(ValueError, match="no raster"):
         rasters.yearly_stack(spark.read.parquet(f"{tmp_path}/px"), spark.createDataFrame([], "year int, name string"))
 
