@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from .operators import breaks, composite, disturbance, recovery, sen, spatial
 from .params import Breaks, Composite, Disturbance, Trend, need
-from .sources import geotiff, manifest, rasters, sinks, vectors
+from .sources import geotiff, manifest, rasters, sinks, styles, vectors
 
 Run = Callable[[SparkSession, Mapping[str, Any]], DataFrame]
 PIPELINES: dict[str, Run] = {}
@@ -30,7 +30,7 @@ def pipeline(f: Run) -> Run:
 
 
 def run(spark: SparkSession, parameters: Mapping[str, Any]) -> DataFrame:
-    """The items (id, datetime, bbox, asset) of the pipeline that parameters["algorithm"] names."""
+    """The items (id, datetime, bbox, asset, style) of the pipeline that parameters["algorithm"] names."""
     name = parameters.get("algorithm")
     need(name in PIPELINES, f"algorithm must be one of {sorted(PIPELINES)}")
     need(bool(parameters.get("output")), "an output folder is needed")
@@ -60,10 +60,10 @@ def layer(spark: SparkSession, parameters: Mapping[str, Any], name: str, attribu
 
 
 def items(spark: SparkSession, rows: list[tuple], box: tuple[float, float, float, float] | None) -> DataFrame:
-    """rows: (id, label, asset)."""
-    df = spark.createDataFrame(rows, "id string, label string, asset string")
+    """rows: (id, label, asset, and a style if there is one)."""
+    df = spark.createDataFrame([(*r, None)[:4] for r in rows], "id string, label string, asset string, style string")
     day = F.coalesce(F.expr("cast(try_to_timestamp(label) as date)"), F.current_date())
-    return df.select("id", F.date_format(day, "yyyy-MM-dd'T'00:00:00'Z'").alias("datetime"), F.lit(list(box or (0.0, 0.0, 0.0, 0.0))).cast("array<double>").alias("bbox"), "asset")
+    return df.select("id", F.date_format(day, "yyyy-MM-dd'T'00:00:00'Z'").alias("datetime"), F.lit(list(box or (0.0, 0.0, 0.0, 0.0))).cast("array<double>").alias("bbox"), "asset", "style")
 
 
 def box_of(zones: DataFrame | None) -> tuple[float, float, float, float] | None:
@@ -117,7 +117,7 @@ def seasonal_sen(spark: SparkSession, parameters: Mapping[str, Any]) -> DataFram
     counts = own.groupBy("zone_id").agg(F.count(F.lit(1)).alias("n"))
     status = sites.select("zone_id").join(counts, "zone_id", "left").select("zone_id", F.when(F.col("n") > 0, "ok").otherwise("failed").alias("status"), F.when(F.col("n") > 0, "").otherwise("no pixels").alias("reason"), F.lit(reference.source).alias("reference"))
     sinks.summary(status, f"{parameters['output']}/summary")
-    return items(spark, [(m, str(found.last_year), f"{path}/metric={m}") for m in wanted], box_of(sites))
+    return items(spark, [(m, str(found.last_year), f"{path}/metric={m}", styles.trend(m)) for m in wanted], box_of(sites))
 
 
 @pipeline
@@ -130,7 +130,8 @@ def breaks_detection(spark: SparkSession, parameters: Mapping[str, Any]) -> Data
     found = breaks.detect(rasters.yearly_stack(pixels, years, wish.nodata), ["y", "x"], threshold=wish.threshold, scale=wish.scale)
     path = f"{parameters['output']}/breaks"
     sinks.breaks(found, path, wish.nodata)
-    rows = [("breaks", "", path)]
+    span = rasters.minmax(found, "change_magnitude").first()
+    rows = [("breaks", "", path, styles.grey(span.low, span.high, band=2))]
     for name, column in (("year", "change_year"), ("magnitude", "change_magnitude")) if parameters.get("grid") else ():
         rows.append((name, "", f"{parameters['output']}/{name}.tif"))
         geotiff.write(found.select("y", "x", F.col(column).alias("v")), rows[-1][2], geotiff.Grid(**parameters["grid"]), nodata=wish.nodata)
@@ -159,7 +160,8 @@ def spectral_recovery(spark: SparkSession, parameters: Mapping[str, Any]) -> Dat
     sinks.metrics(found.withColumn("Y2R", F.col("Y2R").cast("double")).withColumnRenamed("basin", "site"), path, names)
     sinks.summary(status, f"{parameters['output']}/summary")
     recovery.raise_failed(status, "basin")
-    return items(spark, [(n, "", f"{path}/metric={n}") for n in names], None)
+    ends = found.agg(*(f(n).cast("double").alias(f"{k}_{n}") for n in names for k, f in (("low", F.min), ("high", F.max)))).first()
+    return items(spark, [(n, "", f"{path}/metric={n}", styles.recovered(n, ends[f"low_{n}"], ends[f"high_{n}"])) for n in names], None)
 
 
 @pipeline

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from landpulse import pipelines
 from landpulse.operators import composite, recovery
 from landpulse.params import Composite
-from landpulse.sources import geotiff, manifest, rasters, sinks, vectors
+from landpulse.sources import geotiff, manifest, rasters, sinks, styles, vectors
 
 
 def square(x0, y0, x1, y1, **properties):
@@ -57,7 +57,8 @@ def test_seasonal_sen(spark, tmp_path):
     df = spark.createDataFrame(entries, "pos int, file string, path string, period_label string, time_label string, export_payload string, indices array<string>")
     sinks.manifest(df, Composite(), f"{tmp_path}/manifest")
     wish = {"algorithm": "seasonal_sen", "pixels": f"{tmp_path}/px", "manifest": f"{tmp_path}/manifest", "output": f"{tmp_path}/out", "metrics": ["DeltaIR"], "sites": layer(square(0, 0, 1, 1, zone_id="a"), square(7, 7, 9, 9, zone_id="far"))}
-    assert [r.id for r in pipelines.run(spark, wish).collect()] == ["delta_ir"]
+    items = pipelines.run(spark, wish).collect()
+    assert [r.id for r in items] == ["delta_ir"] and json.loads(items[0].style) == json.loads(styles.diverging(0.5))
     got = spark.read.parquet(f"{tmp_path}/out/metrics").collect()
     assert [(r.site, r.metric, r.y, r.x, round(r.value, 5)) for r in got] == [("a", "delta_ir", 0, 0, 0.3)]
     status = {r.zone_id: (r.status, r.reason) for r in spark.read.json(f"{tmp_path}/out/summary/json").collect()}
@@ -119,3 +120,12 @@ def test_item_datetime(spark):
     df = spark.createDataFrame([("2019", "x"), ("2019-03-04", "x"), ("m", "/out/2017_04.tif"), ("m", "20170.tif"), (None, None)], "label string, file string")
     got = [str(r[0]) for r in df.select(scalars.item_datetime(F.col("label"), F.col("file"), F.lit("2024-01-02"))).collect()]
     assert got == ["2019-07-01", "2019-03-04", "2017-07-01", "2024-01-02", "2024-01-02"]
+
+
+def test_styles():
+    red, green, blue, seen = json.loads(styles.trend("r80p"))["color"][1:]
+    assert red[3:] == [-1.5, 215, -0.75, 253, 0, 255, 0.75, 166, 1.5, 26] and green[3:5] == [-1.5, 25] and blue[-2:] == [1.5, 65] and seen[0] == "case"
+    assert json.loads(styles.trend("slope"))["color"][1][3:] == [-1, 0, 1, 255]
+    assert json.loads(styles.grey(-3.0, 2.0, 2)) == {"color": ["interpolate", ["linear"], ["band", 2], -3.0, [255, 255, 255, 1], 2.0, [0, 0, 0, 1]]}
+    assert json.loads(styles.recovered("Y2R", 1.0, 9.0))["color"][3] == -0.6 and json.loads(styles.recovered("R80P", 1.0, 9.0))["color"][-2:] == [0, [52, 52, 52, 0]]
+    assert len(json.loads(styles.recovered("RRI", 1.0, 9.0))["color"]) == 7
