@@ -86,18 +86,18 @@ def line_dedup(docs: DataFrame, divisor: int = DIVISOR, carry: bool = False, pai
     by_doc = join_split(places, repeated.select("h"), ["h"], hot).groupBy("key", "th").agg(F.collect_set(F.struct("first", "n", "h")).alias("suspects"))
     with_text = base.join(by_doc, ["key", "th"]).select("key", "th", F.split("text", "\n", -1).alias("lines"), F.explode("suspects").alias("c"))
     chunk = F.array_join(F.slice("lines", F.col("c.first"), F.col("c.n")), "\n")
-    digest = F.unhex(F.sha2("chunk", 256))
-    suspects = with_text.select("key", "th", "c.*", chunk.alias("chunk")).withColumn("digest", digest)
+    suspects = with_text.select("key", "th", "c.*", chunk.alias("chunk"))
+    digest = F.unhex(F.sha2("chunk", 256)).alias("digest")
+    found = written(suspects.select("key", "th", "first", "n", "h", digest), "line-suspects")
     # Chunks are grouped by their bytes; places then find their group by its digest.
-    by = ["h", "digest"] if pairs else ["h", "chunk"]
-    firsts = suspects.groupBy(*by).agg(F.min(place).alias("lo"), F.max(place).alias("hi"), F.count(F.lit(1)).alias("times")).where("lo != hi")
-    firsts = written(firsts.select("h", ("digest" if pairs else digest.alias("digest")), "lo", "times"), "line-firsts")
+    groups = (found.groupBy("h", "digest") if pairs else suspects.groupBy("h", "chunk")).agg(F.min(place).alias("lo"), F.max(place).alias("hi"), F.count(F.lit(1)).alias("times")).where("lo != hi")
+    firsts = written(groups.select("h", "digest" if pairs else digest, "lo", "times"), "line-firsts")
     total = firsts.agg(F.sum("times")).first()[0] or 0
     many = firsts.where(F.col("times") * HOT > total).select("h", "digest")
     later = place != F.col("lo")
     if pairs:
         later = later & ~((F.col("key") == F.col("lo.key")) & (F.col("th") == F.col("lo.th")) & (F.col("first") < F.col("lo.first") + F.col("n")))
-    again = join_split(suspects.drop("chunk"), firsts.drop("times"), ["h", "digest"], many).where(later).select("key", "th", "first", "n")
+    again = join_split(found, firsts.drop("times"), ["h", "digest"], many).where(later).select("key", "th", "first", "n")
     removed = again.groupBy("key", "th").agg(F.sort_array(F.collect_set(F.struct("first", "n"))).alias("removed"))
     if pairs:
         removed = removed.select("key", "th", _runs(F.col("removed")).alias("removed"))
