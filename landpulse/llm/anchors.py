@@ -211,8 +211,20 @@ def _outside(rows: DataFrame, large: tuple[DataFrame, DataFrame] | None) -> Data
     return rows if large is None else rows.join(F.broadcast(large[1]), "group", "left_anti").join(large[0], "group", "left_anti")
 
 
+def _cuts(whole: pa.Table, kind: Kind) -> list[int]:
+    """Where lots of whole groups begin: each has kind.lot elements at most, or one group. The last one may go on."""
+    group = whole["group"].to_numpy()
+    begin = np.concatenate(([0], np.flatnonzero(group[1:] != group[:-1]) + 1))
+    upto = np.cumsum(np.add.reduceat(whole["n"].to_numpy().astype(np.int64) + kind.width - 1, begin))
+    cuts, at = [0], 0
+    while (to := max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + kind.lot, "right")))) < len(begin):
+        at = to
+        cuts.append(int(begin[at]))
+    return cuts
+
+
 def _lots(rows: DataFrame, kind: Kind, solve: Callable[[pa.Table], pa.RecordBatch]) -> DataFrame:
-    """solve's MARKS over whole groups, as many at a time as a lot holds."""
+    """solve's MARKS over whole groups, as many at a time as a lot holds, however many come in one batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -223,15 +235,21 @@ def _lots(rows: DataFrame, kind: Kind, solve: Callable[[pa.Table], pa.RecordBatc
             if size < kind.lot:
                 continue
             whole = pa.Table.from_batches(held)
-            group = whole["group"].to_numpy()
-            cut = int(np.searchsorted(group, group[-1]))
-            if cut:
-                yield solve(whole.slice(0, cut))
+            cuts = _cuts(whole, kind)
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                yield solve(whole.slice(a, b - a))
                 tidy()
-            held = whole.slice(cut).to_batches()
+            rest = whole.slice(cuts[-1])
+            # A copy: a slice would keep all of its batches.
+            held = rest.take(pa.array(range(len(rest)))).to_batches()
             size = sum(pc.sum(b.column("n")).as_py() + b.num_rows * (kind.width - 1) for b in held)
+            del whole, rest
         if held:
-            yield solve(pa.Table.from_batches(held))
+            whole = pa.Table.from_batches(held)
+            cuts = _cuts(whole, kind)
+            for a, b in zip(cuts, [*cuts[1:], len(whole)], strict=True):
+                yield solve(whole.slice(a, b - a))
+                tidy()
 
     return rows.repartition("group").sortWithinPartitions("group").mapInArrow(run, MARKS)
 

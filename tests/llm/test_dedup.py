@@ -60,6 +60,16 @@ def test_substrings(spark, monkeypatch, small):
     assert collections.Counter(map(tuple, suffix_array.suffix_dedup(df, True).collect())) == plain_strings(rows)
 
 
+def test_lots_are_bounded_whatever_a_batch_holds(spark):
+    """Many small groups in one batch: each call gets whole groups, of a lot at most unless one group is larger."""
+    kind = dataclasses.replace(suffix_array.KIND, lot=5000)
+    rows = [(g, i, 0, 1, g, 0, 1 + g % 7, b"x") for g in range(900) for i in range(1 if g % 50 else 40)]
+    seen = lambda lot: anchors._batch(anchors.MARKS, [[len(set(lot["group"].to_pylist()))], [sum(lot["n"].to_pylist()) + len(lot) * (kind.width - 1)], [len(lot)], [0], [0], [0]])
+    lots = anchors._lots(spark.createDataFrame(rows, anchors.PARTS), kind, seen).collect()
+    assert sum(r.s2 for r in lots) == len(rows) and sum(r.group for r in lots) == 900
+    assert all(r.s1 <= kind.lot or r.group == 1 for r in lots) and len(lots) < 150
+
+
 def thue_morse(letters, swap=False):
     return "".join("ab"[(i.bit_count() + swap) % 2] for i in range(letters))
 
