@@ -254,8 +254,8 @@ def _told_apart(sets: DataFrame, shared: DataFrame, name: str) -> DataFrame:
     return written(sets.join(shared, "sid", "left").withColumn("sid", other).drop("lo").select(sets.columns), f"{name}-sets")
 
 
-def _split_signatures(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(sig, part, n, sid) for all signatures, part being -1 but for those that are split; and pairs (a, b, hub) of the parts' pivots with the first of them."""
+def _split_signatures(sets: DataFrame, name: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(sig, part, n, sid) for all signatures, part being -1 but for those that are split; pairs (a, b, hub) of the parts' pivots with the first of them; and that (sig, pivot)."""
     rows = sets.where("size(sigs) > 0").select(F.explode("sigs").alias("sig"), "n", "sid")
     total = sets.agg(F.sum(F.size("sigs"))).first()[0] or 0
     most = max(total // HOT, BLOCK)
@@ -264,14 +264,14 @@ def _split_signatures(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     hot = counts.where(F.col("count") * SAMPLED > most)  # 2 * HOT or so at most
     parts = F.ceil(F.col("count") * SAMPLED / most).cast("int")
     dealt = rows.join(F.broadcast(hot.select("sig", parts.alias("parts"))), "sig", "left").select("sig", F.coalesce(F.expr("pmod(xxhash64(sid), parts)").cast("long"), F.lit(-1).cast("long")).alias("part"), "n", "sid")
-    pivots = dealt.where("part >= 0").groupBy("sig", "part").agg(F.min(F.struct("n", "sid")).alias("pivot"))
+    pivots = written(dealt.where("part >= 0").groupBy("sig", "part").agg(F.min(F.struct("n", "sid")).alias("pivot")), f"{name}-pivots")
     first = pivots.groupBy("sig").agg(F.min("pivot")["sid"].alias("hub"))
     pairs = pivots.join(first, "sig").select(F.col("pivot.sid").alias("sid"), "hub").where("sid <> hub")
-    return dealt, pairs.select(F.least("sid", "hub").alias("a"), F.greatest("sid", "hub").alias("b"), "hub")
+    return dealt, pairs.select(F.least("sid", "hub").alias("a"), F.greatest("sid", "hub").alias("b"), "hub"), first.select("sig", F.col("hub").alias("pivot"))
 
 
 def _compare(rows: DataFrame, percent: int) -> DataFrame:
-    """(a, b, sig, n): candidates as a < b with the hub, a pivot, as sig, else null, and n null; of groups beyond GROUP, pairs with a pivot and with neighbours, and each member as (sid, null, sig, n)."""
+    """(a, b, sig, n): candidates as a < b with the hub, a pivot, as sig, else null, and n null; of groups beyond GROUP, pairs with a pivot and with neighbours, and each member as (sid, pivot, sig, n), pivot null where the signature is split."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.zeros((0, 4), np.int64)
@@ -290,7 +290,7 @@ def _compare(rows: DataFrame, percent: int) -> DataFrame:
                     large[0] = True
                 if not ended and not large[-1]:
                     keep, x, begin, size, large = x[begin[-1] :], x[: begin[-1]], begin[:-1], size[:-1], large[:-1]
-            pairs, hubs, members = [], [], []
+            pairs, hubs, members, pivots = [], [], [], []
             whole = np.repeat(large, size)
             small = x[~whole]
             for d in range(1, GROUP):
@@ -306,6 +306,7 @@ def _compare(rows: DataFrame, percent: int) -> DataFrame:
                 if not big or big[:2] != tuple(own[0, :2].tolist()):
                     big = tuple(own[0].tolist())
                 members.append(own)
+                pivots.append(np.full(len(own), big[3] if big[1] < 0 else -1))
                 ok = (100 * big[2] >= percent * own[:, 2]) & (own[:, 3] != big[3])
                 hubs.append(np.stack((np.full(int(ok.sum()), big[3]), own[ok, 3]), axis=1))
                 for d in NEIGHBOURS:  # those next in size, who are the likeliest to be linked
@@ -314,12 +315,13 @@ def _compare(rows: DataFrame, percent: int) -> DataFrame:
             none = np.zeros((0, 2), np.int64)
             plain = np.unique(np.sort(np.concatenate([none, *pairs]), axis=1), axis=0)
             hub = np.unique(np.concatenate([none, *hubs]), axis=0)
-            member = np.concatenate([x[:0], *members])
+            member, pivot = np.concatenate([x[:0], *members]), np.concatenate([np.zeros(0, np.int64), *pivots])
             if not len(plain) + len(hub) + len(member):
                 return keep, None
             pair = np.concatenate((plain, np.sort(hub, axis=1)))
-            lacks = [np.repeat(v, (len(plain), len(hub), len(member))) for v in ([False, False, True], [True, False, False], [True, True, False])]
-            values = [np.concatenate((pair[:, 0], member[:, 3])), np.concatenate((pair[:, 1], member[:, 3])), np.concatenate((plain[:, 0], hub[:, 0], member[:, 0])), np.concatenate((pair[:, 0], member[:, 2]))]
+            lacks = [np.repeat(v, (len(plain), len(hub), len(member))) for v in ([False, False, False], [True, False, False], [True, True, False])]
+            lacks[0][len(pair) :] = pivot < 0
+            values = [np.concatenate((pair[:, 0], member[:, 3])), np.concatenate((pair[:, 1], pivot)), np.concatenate((plain[:, 0], hub[:, 0], member[:, 0])), np.concatenate((pair[:, 0], member[:, 2]))]
             return keep, pa.RecordBatch.from_arrays([pa.array(values[0]), *(pa.array(v, mask=m) for v, m in zip(values[1:], lacks, strict=True))], ["a", "b", "sig", "n"])
 
         for batch in batches:
@@ -379,19 +381,19 @@ def _counts(sketches: np.ndarray, bits: int) -> np.ndarray:
 
 
 def _cross_parts(of: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b) of members (sig, sid, n, part) of one signature but different parts whose sizes and tags allow a link.
+    """(a, b) of members (pivot, sid, n, sigs, part) of one signature but different parts whose sizes and tags allow a link.
 
-    Signatures with the same first member have mostly the same members, so
-    they are taken together: a row for each of their members, with its list
-    of signatures. Members are dealt to pairs of blocks, in which each two
-    meet once; what isn't likely to be linked is never emitted.
+    Signatures with the same first member, the pivot, have mostly the same
+    members, so they are taken together: a row for each of their members, with
+    its list of signatures. Members are dealt to pairs of blocks, in which each
+    two meet once; what isn't likely to be linked is never emitted.
     """
-    groups = of.groupBy("sig").agg(F.min("part").alias("x"), F.max("part").alias("y"), F.min(F.struct("n", "sid"))["sid"].alias("pivot"), F.count(F.lit(1)).alias("m")).where("x < y")
-    sizes = groups.groupBy("pivot").agg(F.ceil(F.max("m") / BLOCK).cast("int").alias("blocks"))
-    rows = join_split(of, groups.select("sig", "pivot"), ["sig"], hot_keys(groups, "sig", "m")).groupBy("pivot", "sid", "n", "part").agg(F.collect_list("sig").alias("sigs"))
+    groups = of.groupBy("pivot").agg(F.min("part").alias("x"), F.max("part").alias("y"), F.count(F.lit(1)).alias("m")).where("x < y")
+    sizes = groups.select("pivot", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
+    rows = join_split(of, sizes, ["pivot"], hot_keys(groups, "pivot", "m"))
     tagged = sets.where("tags is not null").groupBy("sid").agg(F.first("tags").alias("tags"))
     own = F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")
-    dealt = rows.join(tagged, "sid").join(sizes, "pivot").withColumn("block", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = rows.join(tagged, "sid").withColumn("block", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("pivot", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "sid", "n", "part", "sigs", "tags")
 
     def near(x: dict[str, np.ndarray], y: dict[str, np.ndarray], same: bool) -> Iterator[np.ndarray]:
@@ -477,15 +479,21 @@ def _verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, k: int, percen
 
 
 def _first_links(base: DataFrame, k: int, percent: int, name: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Sets, what _compare() found, its pairs (a, b) and those of them that are linked."""
+    """Sets, members (pivot, sid, n, sigs) of large groups, _compare()'s pairs (a, b) and those of them that are linked.
+
+    Signatures with one pivot have mostly the same members: each is one row, with its signatures.
+    """
     if not 50 < percent <= 100:
         raise ValueError("percent must be over 50 and at most 100")
     sets = _sets(base, k, percent, name)
-    rows, pivots = _split_signatures(sets)
+    rows, pivots, first = _split_signatures(sets, name)
     found = written(_compare(rows, percent), f"{name}-candidates")
-    pairs = found.where("b is not null").select("a", "b", F.col("sig").alias("hub")).unionByName(pivots).groupBy("a", "b").agg(F.min("hub").alias("hub"))
+    pairs = found.where("n is null").select("a", "b", F.col("sig").alias("hub")).unionByName(pivots).groupBy("a", "b").agg(F.min("hub").alias("hub"))
     links = written(_verified(base, sets, written(_likely(pairs, sets, percent), f"{name}-likely"), k, percent), f"{name}-links")
-    return sets, found, pairs.select("a", "b"), links
+    large = found.where("n is not null").select("sig", F.col("a").alias("sid"), "n", F.col("b").alias("pivot"))
+    of_split = large.where("pivot is null").drop("pivot").join(F.broadcast(first), "sig")  # first has 2 * HOT rows or so at most
+    members = large.where("pivot is not null").unionByName(of_split).groupBy("pivot", "sid", "n").agg(F.collect_set("sig").alias("sigs"))
+    return sets, written(members, f"{name}-members"), pairs.select("a", "b"), links
 
 
 def similarity_links(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, name: str = "jaccard") -> DataFrame:
@@ -496,10 +504,9 @@ def similarity_links(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, na
     the square of a group of near copies.
     """
     base = keyed(docs)
-    sets, found, pairs, links = _first_links(base, k, percent, name)
-    members = found.where("b is null").select(F.col("a").alias("sid"), "sig", "n", F.col("a").alias("part")).distinct()
+    sets, members, pairs, links = _first_links(base, k, percent, name)
     if not members.isEmpty():
-        rest = _cross_parts(members, sets, percent).distinct().join(pairs, ["a", "b"], "left_anti").withColumn("hub", F.lit(None).cast("long"))
+        rest = _cross_parts(members.withColumn("part", F.col("sid")), sets, percent).distinct().join(pairs, ["a", "b"], "left_anti").withColumn("hub", F.lit(None).cast("long"))
         links = links.unionByName(_verified(base, sets, written(rest, f"{name}-likely"), k, percent))
     reps = sets.where("n > 0").groupBy("sid").agg(F.min(F.struct("key", "th")).alias("rep"))
     side = lambda c: reps.select(F.col("sid").alias(c), F.col("rep.key").alias(f"key_{c}"), F.col("rep.th").alias(f"th_{c}"))
@@ -526,11 +533,10 @@ def similarity_join(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, nam
     on. So groups of near copies cost rows by their size.
     """
     base = keyed(docs)
-    sets, found, pairs, links = _first_links(base, k, percent, name)
+    sets, members, pairs, links = _first_links(base, k, percent, name)
     labels = components(links, name)
-    members = found.where("b is null").select(F.col("a").alias("sid"), "sig", "n").distinct()
     if not members.isEmpty():
-        of = members.join(labels, members["sid"] == labels["v"], "left").select("sig", "n", "sid", F.coalesce("label", "sid").alias("part"))
+        of = members.join(labels, members["sid"] == labels["v"], "left").select("pivot", "sid", "n", "sigs", F.coalesce("label", "sid").alias("part"))
         rest = _cross_parts(of, sets, percent).distinct().join(pairs, ["a", "b"], "left_anti").withColumn("hub", F.lit(None).cast("long"))
         more = _verified(base, sets, written(rest, f"{name}-likely"), k, percent)
         links = written(links.unionByName(more), f"{name}-links")

@@ -10,7 +10,8 @@ from corpora import corpus, frame, with_odd_rows
 from pyspark.sql import functions as F
 
 from landpulse.llm import anchors, decontamination, similarity_join, substring_dedup, suffix_array, words
-from landpulse.llm.common import NO_ID
+from landpulse.llm.common import NO_ID, keyed
+from landpulse.llm.graph import components
 
 
 def plain_windows(rows):
@@ -199,6 +200,22 @@ def test_similarity_links(spark, monkeypatch, group, block):
     assert similarity_join.similarity_links(frame(spark, [])).count() == 0
 
 
+def test_members_of_large_groups_are_rows_once(spark):
+    """Near copies share many signatures, and one row for each of their pivots."""
+    near = [(i, " ".join(f"n{j if j != 5 * i else -i}" for j in range(200)), None, None, 0) for i in range(40)]
+    _, members, _, _ = similarity_join._first_links(keyed(frame(spark, near)), 4, 85, "members")
+    rows = members.collect()
+    assert len({(r.pivot, r.sid) for r in rows}) == len(rows) and 40 <= len(rows) < sum(len(r.sigs) for r in rows)
+
+
+def test_components(spark):
+    """A path, a star with a large centre, cliques and single edges; each round's edges are only those between trees."""
+    edges = [(i, i + 1) for i in range(40)] + [(99, i) for i in range(60, 99)] + [(a, b) for a in range(100, 112) for b in range(100, a)] + [(200, 201), (300, 300), (201, 200)]
+    got = {r.v: r.label for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    want = {**{i: 0 for i in range(41)}, **{i: 60 for i in range(60, 100)}, **{i: 100 for i in range(100, 112)}, 200: 200, 201: 200, 300: 300}
+    assert got == want and components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
 def test_sets_that_share_an_id(spark):
     sets = spark.createDataFrame([(1, 5, 1), (2, 5, 2), (3, 5, 2), (4, 6, 9)], "key long, sid long, rest long")
     got = {r.key: r.sid for r in similarity_join._told_apart(sets, spark.createDataFrame([(5, 1)], "sid long, lo long"), "ids").collect()}
