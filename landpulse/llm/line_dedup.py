@@ -6,8 +6,9 @@ that occurs again anywhere is removed there; its first occurrence stays.
 Chunks are grouped by their whole text, which is the byte comparison.
 
 Boundaries depend on the lines before a passage, and chunks of one line stay,
-so much of what repeats isn't found (README). The pipeline takes each two
-neighbouring lines instead, which finds all of it.
+so much of what repeats isn't found (README). In the pipeline an exact pass
+follows: each two neighbouring lines that no removed chunk holds are compared
+too, which finds the rest.
 """
 
 from __future__ import annotations
@@ -47,6 +48,11 @@ def _pairs(docs: DataFrame) -> DataFrame:
     return lines.where(F.size("lines") > 1).select("key", "th", F.explode(pairs).alias("c")).select("key", "th", "c.*")
 
 
+def _in_twos(run: Column) -> Column:
+    """The pairs (first, 2) of a run (first, n)."""
+    return F.transform(F.sequence(run["first"], run["first"] + run["n"] - 2), lambda i: F.struct(i.cast("int").alias("first"), F.lit(2).alias("n")))
+
+
 def _runs(pairs: Column) -> Column:
     """The runs (first, n) that sorted pairs (first, 2) cover together."""
     at = lambda k: F.get(pairs, k)["first"]
@@ -55,6 +61,39 @@ def _runs(pairs: Column) -> Column:
     return F.transform(begins, lambda p, k: F.struct(p["first"].alias("first"), (F.get(ends, k)["first"] + 2 - p["first"]).alias("n")))
 
 
+def _repeats(base: DataFrame, places: DataFrame, known: DataFrame | None, pairs: bool) -> DataFrame:
+    """(key, th, first, n) of the places that repeat an earlier one; known: (key, th, first) of pairs that are known to, which aren't looked at.
+
+    With pairs, what would depend on the order of texts under one doc_id or overlaps
+    its first place is left out: of chunks the former, of pairs, for which known is given, the latter.
+    """
+    follow = known is not None
+    places = written(places, "line-chunks")
+    place = F.struct("key", "first", "th")
+    repeated = written(places.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "line-repeats")
+    hot = repeated.where(F.col("c") * HOT > places.count()).select("h")
+    again = join_split(places, repeated.select("h"), ["h"], hot)
+    if follow:
+        again = again.join(known, ["key", "th", "first"], "left_anti")
+    by_doc = again.groupBy("key", "th").agg(F.collect_set(F.struct("first", "n", "h")).alias("suspects"))
+    with_text = base.join(by_doc, ["key", "th"]).select("key", "th", F.split("text", "\n", -1).alias("lines"), F.explode("suspects").alias("c"))
+    chunk = F.array_join(F.slice("lines", F.col("c.first"), F.col("c.n")), "\n")
+    suspects = with_text.select("key", "th", "c.*", chunk.alias("chunk"))
+    digest = F.unhex(F.sha2("chunk", 256)).alias("digest")
+    found = written(suspects.select("key", "th", "first", "n", "h", digest), "line-suspects")
+    # Chunks are grouped by their bytes; places then find their group by its digest.
+    groups = (found.groupBy("h", "digest") if follow else suspects.groupBy("h", "chunk")).agg(F.min(place).alias("lo"), F.max(place).alias("hi"), F.count(F.lit(1)).alias("times")).where("lo != hi")
+    firsts = written(groups.select("h", "digest" if follow else digest, "lo", "times"), "line-firsts")
+    total = firsts.agg(F.sum("times")).first()[0] or 0
+    many = firsts.where(F.col("times") * HOT > total).select("h", "digest")
+    later = place != F.col("lo")
+    if follow:
+        later = later & ~((F.col("key") == F.col("lo.key")) & (F.col("th") == F.col("lo.th")) & (F.col("first") < F.col("lo.first") + F.col("n")))
+    elif pairs:
+        later = later & ((F.col("key") != F.col("lo.key")) | (F.col("th") == F.col("lo.th")))
+    return join_split(found, firsts.drop("times"), ["h", "digest"], many).where(later).select("key", "th", "first", "n")
+
+
 def line_dedup(docs: DataFrame, divisor: int = DIVISOR, carry: bool = False, pairs: bool = False) -> DataFrame:
     """docs' rows as (key, th, doc_id, text, n_lines, removed, kept_text), with carry also rest (see keyed()): removed lists (first, n) of the removed runs of lines.
 
@@ -65,7 +104,7 @@ def line_dedup(docs: DataFrame, divisor: int = DIVISOR, carry: bool = False, pai
     lines are lines. Single-line chunks always stay, so an empty text, or one
     of a single line, is returned as it is.
 
-    With pairs, each two neighbouring lines take the place of chunks: a line goes
+    With pairs, an exact pass over each two neighbouring lines follows that of chunks: a line goes
     if it and a neighbour stand together at an earlier place too, one that
     overlaps them not counted. So of each passage of two lines or more that
     stood before nothing stays, and no line goes whose text isn't kept earlier.
@@ -79,28 +118,14 @@ def line_dedup(docs: DataFrame, divisor: int = DIVISOR, carry: bool = False, pai
     rows nor its text move.
     """
     base = keyed(docs, carry)
-    places = written(_pairs(base) if pairs else _chunks(base, divisor), "line-chunks")
-    place = F.struct("key", "first", "th")
-    repeated = written(places.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "line-repeats")
-    hot = repeated.where(F.col("c") * HOT > places.count()).select("h")
-    by_doc = join_split(places, repeated.select("h"), ["h"], hot).groupBy("key", "th").agg(F.collect_set(F.struct("first", "n", "h")).alias("suspects"))
-    with_text = base.join(by_doc, ["key", "th"]).select("key", "th", F.split("text", "\n", -1).alias("lines"), F.explode("suspects").alias("c"))
-    chunk = F.array_join(F.slice("lines", F.col("c.first"), F.col("c.n")), "\n")
-    suspects = with_text.select("key", "th", "c.*", chunk.alias("chunk"))
-    digest = F.unhex(F.sha2("chunk", 256)).alias("digest")
-    found = written(suspects.select("key", "th", "first", "n", "h", digest), "line-suspects")
-    # Chunks are grouped by their bytes; places then find their group by its digest.
-    groups = (found.groupBy("h", "digest") if pairs else suspects.groupBy("h", "chunk")).agg(F.min(place).alias("lo"), F.max(place).alias("hi"), F.count(F.lit(1)).alias("times")).where("lo != hi")
-    firsts = written(groups.select("h", "digest" if pairs else digest, "lo", "times"), "line-firsts")
-    total = firsts.agg(F.sum("times")).first()[0] or 0
-    many = firsts.where(F.col("times") * HOT > total).select("h", "digest")
-    later = place != F.col("lo")
+    again = _repeats(base, _chunks(base, divisor), None, pairs)
     if pairs:
-        later = later & ~((F.col("key") == F.col("lo.key")) & (F.col("th") == F.col("lo.th")) & (F.col("first") < F.col("lo.first") + F.col("n")))
-    again = join_split(found, firsts.drop("times"), ["h", "digest"], many).where(later).select("key", "th", "first", "n")
+        chunks = written(again, "line-chunks-again")
+        inside = chunks.select("key", "th", F.explode(F.sequence("first", F.col("first") + F.col("n") - 2)).alias("first"))
+        again = chunks.unionByName(_repeats(base, _pairs(base), inside, True))
     removed = again.groupBy("key", "th").agg(F.sort_array(F.collect_set(F.struct("first", "n"))).alias("removed"))
     if pairs:
-        removed = removed.select("key", "th", _runs(F.col("removed")).alias("removed"))
+        removed = removed.select("key", "th", _runs(F.sort_array(F.array_distinct(F.flatten(F.transform("removed", _in_twos))))).alias("removed"))
     joined = base.join(removed, ["key", "th"], "left").withColumn("removed", F.coalesce("removed", F.expr("cast(array() as array<struct<first:int,n:int>>)")))
     lines = joined.withColumn("lines", F.split("text", "\n", -1))
     # The kept stretches lie between the removed runs.

@@ -92,6 +92,20 @@ def test_no_repeated_passage_stays(spark):
     assert line_dedup.line_dedup(frame(spark, []), pairs=True).count() == 0
 
 
+def test_pairs_follow_chunks(spark, monkeypatch):
+    """The stage finds repeats by chunks; pairs of lines are compared only where no removed chunk holds them."""
+    calls = []
+    plain = line_dedup._repeats
+    monkeypatch.setattr(line_dedup, "_repeats", lambda base, places, known, pairs: calls.append((places, known, plain(base, places, known, pairs))) or calls[-1][2])
+    text = "\n".join(f"line number {i}" for i in range(60))
+    rows = [(1, text, None, None, 0), (2, "new\n" + text + "\nend", None, None, 0), (2, text, None, None, 0)]
+    out = corpus_pipeline.drop_repeated_lines(spark, frame(spark, rows), DATA)
+    assert sorted(r.text for r in out.collect() if r.doc_id == 2) == ["", "new\nend"]
+    (_, none, by_chunks), (_, known, by_pairs) = calls
+    place = lambda df: {(r.key, r.th, r.first) for r in df.collect()}
+    assert none is None and by_chunks.count() > 20 and place(known) and not place(known) & place(by_pairs) and by_pairs.count() < known.count()
+
+
 def test_inserted_line_moves_few_boundaries():
     text = "\n".join(f"line number {i}" for i in range(200))
     before = {tuple(x) for _, x in chunks(text)}
