@@ -73,6 +73,23 @@ def test_sample_is_bounded(spark, monkeypatch):
     assert 0 <= marks[None] <= 1 and toxicity.score(docs, net, marks).count() == 203
 
 
+def test_every_labelled_row_is_learned_from(spark, monkeypatch):
+    """In several shards, with texts of any length: all are counted, and what only long texts say is learned."""
+    counts = []
+    monkeypatch.setattr(toxicity, "MOST_CHARS", 200_000)
+    monkeypatch.setattr(toxicity, "begun", lambda share, seen, rng, plain=toxicity.begun: counts.append((share, seen)) or plain(share, seen, rng))
+    rng = random.Random(5)
+    rows = [(i, " ".join(["all"] + [f"w{rng.randrange(300)}" for _ in range(13_000 if i % 10 == 0 else 30)] + ["vile"] * (i % 20 == 0)), "en", "s", 0) for i in range(400)]
+    assert len(rows[0][1]) > 50_000
+    docs = frame(spark, rows)
+    net, marks = toxicity.fit(docs, spark.createDataFrame([(i, int(i % 20 == 0)) for i in range(400)], "doc_id long, toxic int"))
+    learned = docs.select("doc_id", toxicity.fold(F.col("doc_id")).alias("part")).where("part > 1").count()
+    ((share, seen),) = counts
+    assert seen[0].max() == learned and 0 < share < 0.1
+    scored = {r.doc_id: r.score for r in toxicity.score(docs, net, marks).collect()}
+    assert all((scored[i] >= 0.5) == (i % 20 == 0) for i in range(400))
+
+
 def test_features():
     rows, starts = toxicity.features([b"abc defghijkl", b"", b"abc, ABC"])
     assert starts.tolist() == [0, 4, 6] and (rows[0] == rows[6]).all() and (rows[6] == rows[7]).all() and not rows[4:6].any()
