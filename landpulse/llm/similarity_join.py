@@ -51,6 +51,8 @@ GROUP = 16
 NEIGHBOURS = (1, 2)
 #: Members of such a group that one task compares with one another, or with as many others, at a time.
 BLOCK = 4096
+#: Tokens that such a block has at most, or hardly more, and one set at least.
+TOKENS = 2_000_000
 #: Parts into which the pairs of a hub with more than 1/HOT of all are dealt.
 SPREAD = 256
 #: One in so many sets is counted to find signatures that must be split.
@@ -380,60 +382,50 @@ def _counts(sketches: np.ndarray, bits: int) -> np.ndarray:
     return np.stack([np.bincount(s >> np.uint16(16 - bits) if bits else np.zeros(len(s), np.int64), minlength=1 << bits) for s in sketches]).astype(np.uint16)
 
 
-def _cross_parts(of: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b) of members (pivot, sid, n, sigs, part) of one signature but different parts whose sizes and tags allow a link.
+def _near(x: dict[str, np.ndarray], y: dict[str, np.ndarray], percent: int, wanted: Callable[[int, np.ndarray], np.ndarray]) -> Iterator[tuple[int, np.ndarray]]:
+    """(k, c): members of one block and, of those of another that are wanted when the first one's turn comes, all whose sizes and counts of tokens allow a link; both by their place, at."""
+    for bits in sorted(set(x["bits"].tolist())):
+        for other in sorted(set(y["bits"].tolist())):
+            p, q = np.flatnonzero(x["bits"] == bits), np.flatnonzero(y["bits"] == other)
+            if abs(bits - other) > 1:
+                continue  # one is more than twice as large, or just too large
+            # Counts of tokens by ranges of hashes, a few tokens each, then fewer.
+            fine = max(1, min(bits, other, 10))
+            levels = [[_counts(z["tags"][at], b) for z, at in ((x, p), (y, q))] for b in (max(0, fine - 2), fine)]
+            n, place = y["n"][q], y["at"][q]
+            for row, k in enumerate(p.tolist()):
+                m = x["n"][k]
+                at = np.flatnonzero(100 * np.minimum(m, n) >= percent * np.maximum(m, n))
+                at = at[wanted(int(x["at"][k]), place[at])]
+                for left, right in levels:
+                    if len(at):
+                        shared = np.minimum(np.minimum(right[at], left[row]).sum(axis=1, dtype=np.int64), np.minimum(m, n[at]))
+                        at = at[100 * shared >= percent * (m + n[at] - shared)]
+                if len(at):
+                    yield int(x["at"][k]), place[at]
 
-    Signatures with the same first member, the pivot, have mostly the same
-    members, so they are taken together: a row for each of their members, with
-    its list of signatures. Members are dealt to pairs of blocks, in which each
-    two meet once; what isn't likely to be linked is never emitted.
+
+def _in_blocks(rows: DataFrame, data: DataFrame, solve: Callable[[pa.Table, dict[str, np.ndarray], tuple[dict, dict], bool], pa.RecordBatch], kind: str, schema: str) -> DataFrame:
+    """What solve makes of members (pivot, sid, n, part and more) of more than one part and their data (sid, data: arrays of that kind), dealt to pairs of blocks in which each two with one pivot meet once.
+
+    A block has about BLOCK members or TOKENS tokens, whichever are fewer. solve
+    gets its rows, columns of them (data as tags too), the two blocks, each
+    with its members' places as at, and whether they are one.
     """
-    groups = of.groupBy("pivot").agg(F.min("part").alias("x"), F.max("part").alias("y"), F.count(F.lit(1)).alias("m")).where("x < y")
-    sizes = groups.select("pivot", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
-    rows = join_split(of, sizes, ["pivot"], hot_keys(groups, "pivot", "m"))
-    tagged = sets.where("tags is not null").groupBy("sid").agg(F.first("tags").alias("tags"))
+    groups = rows.groupBy("pivot").agg(F.min("part").alias("x"), F.max("part").alias("y"), F.count(F.lit(1)).alias("m"), F.sum("n").alias("tokens")).where("x < y")
+    sizes = groups.select("pivot", F.greatest(F.ceil(F.col("m") / BLOCK), F.ceil(F.col("tokens") / TOKENS)).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")
-    dealt = rows.join(tagged, "sid").withColumn("block", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("pivot", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "sid", "n", "part", "sigs", "tags")
-
-    def near(x: dict[str, np.ndarray], y: dict[str, np.ndarray], same: bool) -> Iterator[np.ndarray]:
-        for bits in sorted(set(x["bits"].tolist())):
-            for other in sorted(set(y["bits"].tolist())):
-                p, q = np.flatnonzero(x["bits"] == bits), np.flatnonzero(y["bits"] == other)
-                if abs(bits - other) > 1:
-                    continue  # one is more than twice as large, or just too large
-                # Counts of tokens by ranges of hashes, a few tokens each, then fewer; then the tags themselves.
-                fine = max(1, min(bits, other, 10))
-                levels = [[_counts(z["tags"][at], b) for z, at in ((x, p), (y, q))] for b in (max(0, fine - 2), fine)]
-                n, part, sid, masks = y["n"][q], y["part"][q], y["sid"][q], y["masks"][q]
-                for row, k in enumerate(p.tolist()):
-                    m = x["n"][k]
-                    at = np.flatnonzero((part != x["part"][k]) & (100 * np.minimum(m, n) >= percent * np.maximum(m, n)) & ((sid > x["sid"][k]) if same else True))
-                    at = at[(masks[at] & x["masks"][k]).any(axis=1)]
-                    for left, right in levels:
-                        if len(at):
-                            shared = np.minimum(np.minimum(right[at], left[row]).sum(axis=1, dtype=np.int64), np.minimum(m, n[at]))
-                            at = at[100 * shared >= percent * (m + n[at] - shared)]
-                    at = np.array([c for c in at.tolist() if linked(min(tag_bound(x["tags"][k], y["tags"][q[c]]), int(m), int(n[c])), int(m), int(n[c]), percent)], np.int64)
-                    if len(at):
-                        yield np.sort(np.stack((np.full(len(at), x["sid"][k]), sid[at]), axis=1), axis=1)
+    dealt = join_split(rows, sizes, ["pivot"], hot_keys(groups, "pivot", "m")).join(data, "sid").withColumn("block", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("pivot", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", *rows.drop("pivot").columns, "data")
 
-    def solve(group: pa.Table) -> pa.RecordBatch:
-        x = {c: group[c].to_numpy() for c in ("block", "sid", "n", "part")}
-        x["tags"] = np.array([*(np.frombuffer(v, "<u2") for v in group["tags"].to_pylist()), None], object)[:-1]
+    def solved(group: pa.Table) -> pa.RecordBatch:
+        x = {c: group[c].to_numpy() for c in ("block", "sid", "n", "part")} | {"at": np.arange(len(group))}
+        x["data"] = np.array([*(np.frombuffer(v, kind) for v in group["data"].to_pylist()), None], object)[:-1]
+        x["tags"] = x["data"] if kind == "<u2" else np.array([*((v >> np.uint64(48)).astype("<u2") for v in x["data"]), None], object)[:-1]
         x["bits"] = np.array([len(v).bit_length() for v in x["tags"]])
-        lists = group["sigs"].combine_chunks()
-        which = np.unique(lists.flatten().to_numpy(), return_inverse=True)[1]
-        x["masks"] = np.zeros((len(x["sid"]), int(which.max()) // 64 + 1), np.uint64)
-        member = np.repeat(np.arange(len(x["sid"])), pc.list_value_length(lists).to_numpy())
-        np.bitwise_or.at(x["masks"], (member, which // 64), np.uint64(1) << (which % 64).astype(np.uint64))
         i, j = group["i"][0].as_py(), group["j"][0].as_py()
-        if i == j:
-            found = list(near(x, x, True))
-        else:
-            found = list(near(*({c: v[x["block"] == b] for c, v in x.items()} for b in (i, j)), False))
-        pairs = np.unique(np.concatenate([np.zeros((0, 2), np.int64), *found]), axis=0)
-        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+        sides = tuple({c: v[x["block"] == b] for c, v in x.items() if c in ("at", "n", "tags", "bits")} for b in (i, j))
+        return solve(group, x, sides, i == j)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -445,7 +437,7 @@ def _cross_parts(of: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             cuts = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1).tolist(), len(key)]
             for a, b in zip(cuts, cuts[1:] if last else cuts[1:-1], strict=False):
                 if b - a > 1:
-                    yield solve(whole.slice(a, b - a))
+                    yield solved(whole.slice(a, b - a))
             held = [] if last else whole.slice(cuts[-2]).to_batches()
 
         for batch in batches:
@@ -455,12 +447,78 @@ def _cross_parts(of: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             yield from ready(True)
         tidy()
 
-    return dealt.repartition("pivot", "i", "j").sortWithinPartitions("pivot", "i", "j").mapInArrow(run, "a long, b long")
+    return dealt.repartition("pivot", "i", "j").sortWithinPartitions("pivot", "i", "j").mapInArrow(run, schema)
 
 
-def _verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b; hub, one of them or null) that are linked, by their whole sets."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
+def _cross_parts(of: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(pivot, sid, n, part): those members (pivot, sid, n, sigs, part) that have one with a common signature, but in another part, to whom sizes and tags allow a link.
+
+    Signatures with the same first member, the pivot, have mostly the same
+    members, so they are taken together: a row for each of their members, with
+    its list of signatures. Members come out, never their pairs, of which
+    near copies have as many as the square of their number.
+    """
+    tagged = sets.where("tags is not null").groupBy("sid").agg(F.first("tags").alias("data"))
+
+    def solve(group: pa.Table, x: dict[str, np.ndarray], sides: tuple[dict, dict], same: bool) -> pa.RecordBatch:
+        lists = group["sigs"].combine_chunks()
+        which = np.unique(lists.flatten().to_numpy(), return_inverse=True)[1]
+        masks = np.zeros((len(x["sid"]), int(which.max()) // 64 + 1), np.uint64)
+        member = np.repeat(x["at"], pc.list_value_length(lists).to_numpy())
+        np.bitwise_or.at(masks, (member, which // 64), np.uint64(1) << (which % 64).astype(np.uint64))
+        n, part, tagged, hit = x["n"], x["part"], x["data"], np.zeros(len(x["sid"]), bool)
+
+        def wanted(k: int, c: np.ndarray) -> np.ndarray:
+            ok = (part[c] != part[k]) & ~(hit[c] & hit[k]) & ((c > k) | (not same))
+            ok[ok] = (masks[c[ok]] & masks[k]).any(axis=1)
+            return ok
+
+        for k, found in _near(*sides, percent, wanted):
+            for c in found[np.argsort(hit[found], kind="stable")].tolist():
+                if not (hit[k] and hit[c]) and linked(min(tag_bound(tagged[k], tagged[c]), int(n[k]), int(n[c])), int(n[k]), int(n[c]), percent):
+                    hit[[k, c]] = True
+        return pa.RecordBatch.from_arrays([pa.array(group["pivot"].to_numpy()[hit]), *(pa.array(x[c][hit]) for c in ("sid", "n", "part"))], ["pivot", "sid", "n", "part"])
+
+    return _in_blocks(of, tagged, solve, "<u2", "pivot long, sid long, n long, part long").distinct()
+
+
+def _cross_links(docs: DataFrame, of: DataFrame, sets: DataFrame, k: int, percent: int, name: str, every: bool = False) -> DataFrame:
+    """Linked pairs (a, b) of members (see _cross_parts()) of different parts, by their whole sets: all of them, or so many as join whatever parts they join.
+
+    Without every, a link that is found makes one part of two where it is
+    found, and members of one part aren't compared. So each pair of blocks
+    gives fewer links than it has members.
+    """
+    rows = written(_cross_parts(of, sets, percent), f"{name}-likely")
+    tokens = _tokens(docs, sets, rows.select("sid").distinct(), k)
+
+    def solve(group: pa.Table, x: dict[str, np.ndarray], sides: tuple[dict, dict], same: bool) -> pa.RecordBatch:
+        part, sid, data, found = x["part"].copy(), x["sid"], x["data"], []
+        wanted = lambda one, c: (part[c] != part[one]) & ((c > one) | (not same))
+        for one, at in _near(*sides, percent, wanted):
+            while len(at):
+                c, at = int(at[0]), at[1:]
+                if not _similar(data[one], data[c], percent):
+                    continue
+                found.append((min(sid[one], sid[c]), max(sid[one], sid[c])))
+                if not every:
+                    part[part == part[c]] = part[one]
+                    at = at[part[at] != part[one]]
+        pairs = np.array(found, np.int64).reshape(-1, 2)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+    return _in_blocks(rows, tokens, solve, "<u8", "a long, b long").distinct()
+
+
+def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sets are linked."""
+    both = np.concatenate((x, y))
+    both.sort(kind="stable")
+    return linked(int((both[1:] == both[:-1]).sum()), len(x), len(y), percent)
+
+
+def _tokens(docs: DataFrame, sets: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
+    """(sid, data): the whole sets, as 64-bit tokens, whose sid is wanted."""
     reps = sets.where("n > 0").groupBy("sid").agg(F.min(F.struct("key", "th")).alias("rep")).join(wanted, "sid").select("sid", "rep.key", "rep.th")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -468,14 +526,13 @@ def _verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, k: int, percen
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.tobytes() for s in found], pa.binary())], ["sid", "data"])
 
     texts = docs.select("key", "th", "text").join(reps, ["key", "th"]).dropDuplicates(["key", "th"])
-    known = texts.select("sid", "text").mapInArrow(read, "sid long, data binary")
+    return texts.select("sid", "text").mapInArrow(read, "sid long, data binary")
 
-    def linkable(x: np.ndarray, y: np.ndarray) -> bool:
-        both = np.concatenate((x, y))
-        both.sort(kind="stable")
-        return linked(int((both[1:] == both[:-1]).sum()), len(x), len(y), percent)
 
-    return _where(pairs, known, linkable, "<u8").select("a", "b")
+def _verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
+    """The pairs (a, b; hub, one of them or null) that are linked, by their whole sets."""
+    known = _tokens(docs, sets, pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct(), k)
+    return _where(pairs, known, lambda x, y: _similar(x, y, percent), "<u8").select("a", "b")
 
 
 def _first_links(base: DataFrame, k: int, percent: int, name: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
@@ -500,14 +557,13 @@ def similarity_links(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, na
     """(key_a, th_a, key_b, th_b): every linked pair of different sets, once; each set by its least row (see similarity_join()).
 
     In large groups each set is a part of its own, so all their pairs meet in
-    the blocks of _cross_parts(). There are as many rows as links: up to half
+    the blocks of _cross_links(). There are as many rows as links: up to half
     the square of a group of near copies.
     """
     base = keyed(docs)
-    sets, members, pairs, links = _first_links(base, k, percent, name)
+    sets, members, _, links = _first_links(base, k, percent, name)
     if not members.isEmpty():
-        rest = _cross_parts(members.withColumn("part", F.col("sid")), sets, percent).distinct().join(pairs, ["a", "b"], "left_anti").withColumn("hub", F.lit(None).cast("long"))
-        links = links.unionByName(_verified(base, sets, written(rest, f"{name}-likely"), k, percent))
+        links = links.unionByName(_cross_links(base, members.withColumn("part", F.col("sid")), sets, k, percent, name, every=True)).distinct()
     reps = sets.where("n > 0").groupBy("sid").agg(F.min(F.struct("key", "th")).alias("rep"))
     side = lambda c: reps.select(F.col("sid").alias(c), F.col("rep.key").alias(f"key_{c}"), F.col("rep.th").alias(f"th_{c}"))
     return links.join(side("a"), "a").join(side("b"), "b").select("key_a", "th_a", "key_b", "th_b")
@@ -529,17 +585,16 @@ def similarity_join(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, nam
     the sizes that can link. In a larger one, members are compared with a
     pivot and with those next in size, which joins near copies. After that,
     only members of different components are left to compare: they are so
-    where they meet, by sizes and tags, and only pairs that may be linked go
-    on. So groups of near copies cost rows by their size.
+    where they meet, by sizes and tags, and only members that may be linked go
+    on, to be compared by whole sets where they meet again. A link found there
+    joins two components at once. So groups of near copies cost rows by their size.
     """
     base = keyed(docs)
     sets, members, pairs, links = _first_links(base, k, percent, name)
     labels = components(links, name)
     if not members.isEmpty():
         of = members.join(labels, members["sid"] == labels["v"], "left").select("pivot", "sid", "n", "sigs", F.coalesce("label", "sid").alias("part"))
-        rest = _cross_parts(of, sets, percent).distinct().join(pairs, ["a", "b"], "left_anti").withColumn("hub", F.lit(None).cast("long"))
-        more = _verified(base, sets, written(rest, f"{name}-likely"), k, percent)
-        links = written(links.unionByName(more), f"{name}-links")
+        links = written(links.unionByName(_cross_links(base, of, sets, k, percent, name)), f"{name}-links")
         labels = components(links, name)
     worded = sets.where("n > 0").select("key", "th", "n", "sid")
     reps = written(worded.groupBy("sid").agg(F.min("key").alias("rep"), F.count(F.lit(1)).alias("copies")), f"{name}-classes")

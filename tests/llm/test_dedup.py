@@ -208,6 +208,35 @@ def test_members_of_large_groups_are_rows_once(spark):
     assert len({(r.pivot, r.sid) for r in rows}) == len(rows) and 40 <= len(rows) < sum(len(r.sigs) for r in rows)
 
 
+def test_cross_links_grow_with_members_not_with_pairs(spark):
+    """Near copies, each a part of its own: what is compared gives rows by members, and links that join them all."""
+    near = [(i, " ".join(f"n{j if j != 3 * i else -i}" for j in range(200)), None, None, 0) for i in range(60)]
+    base = keyed(frame(spark, near))
+    sets, members, _, _ = similarity_join._first_links(base, 4, 85, "cross")
+    of = members.withColumn("part", F.col("sid"))
+    assert 60 <= similarity_join._cross_parts(of, sets, 85).count() <= of.count()
+    links = similarity_join._cross_links(base, of, sets, 4, 85, "cross").collect()
+    assert 59 <= len(links) <= of.count() - of.select("pivot").distinct().count()
+    assert len({r.label for r in components(spark.createDataFrame(links)).collect()}) == 1
+
+
+@pytest.mark.parametrize("group,block,tokens", [(2, 4096, 2_000_000), (2, 9, 2_000_000), (4, 4096, 900)])
+def test_near_copies_of_near_copies(spark, monkeypatch, group, block, tokens):
+    """Each text has some words of an earlier one changed, so links are a part of a large group's pairs, and chains of them join it in pieces."""
+    for name, value in (("FREQUENT_FROM", 0), ("GROUP", group), ("BLOCK", block), ("TOKENS", tokens)):
+        monkeypatch.setattr(similarity_join, name, value)
+    rng = np.random.default_rng(7)
+    texts = [[f"w{j}" for j in range(120)]]
+    for i in range(1, 150):
+        text = list(texts[int(rng.integers(len(texts)))])
+        for j in rng.integers(0, 100, int(rng.integers(1, 4))).tolist():
+            text[j] = f"e{i}"
+        texts.append(text)
+    rows = [(i, " ".join(t), None, None, 0) for i, t in enumerate(texts)]
+    got = collections.Counter((r.key, r.n, r.component) for r in similarity_join.similarity_join(frame(spark, rows), 4, 85).collect())
+    assert got == plain_links(rows, 4, 85) and 2 < len({c for _, _, c in got}) < 150
+
+
 def test_components(spark):
     """A path, a star with a large centre, cliques and single edges; each round's edges are only those between trees."""
     edges = [(i, i + 1) for i in range(40)] + [(99, i) for i in range(60, 99)] + [(a, b) for a in range(100, 112) for b in range(100, a)] + [(200, 201), (300, 300), (201, 200)]
